@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 # The text classes told apart when the type of a string column is inferred.
 INTEGRAL_TEXT = r"^[+-]?\d+$"
 FRACTIONAL_TEXT = r"^[+-]?((\d+\.\d*|\.\d+)([eE][+-]?\d+)?|\d+[eE][+-]?\d+)$"
-BOOLEAN_TEXT = r"^(true|false)$"
+BOOLEAN_TEXT = ("true", "false")
 
 # One bit per class, so that bit_or over a column says which classes occur in it.
 STRING_BIT, BOOLEAN_BIT, FRACTIONAL_BIT, INTEGRAL_BIT = 8, 4, 2, 1
@@ -85,12 +85,16 @@ def non_negative(col: Column, data_type: T.DataType) -> Column:
 
 
 def type_class(col: Column) -> Column:
-    """Bit of the text class of a string value; null for null."""
+    """Bit of the text class of a string value; null for null.
+
+    Numbers start with a sign, a point or a digit, so other text meets no pattern.
+    """
+    may_be_number = F.ascii(col).between(ord("+"), ord("9"))
     return (
         F.when(col.isNull(), F.lit(None).cast("int"))
-        .when(col.rlike(INTEGRAL_TEXT), F.lit(INTEGRAL_BIT))
-        .when(col.rlike(FRACTIONAL_TEXT), F.lit(FRACTIONAL_BIT))
-        .when(col.rlike(BOOLEAN_TEXT), F.lit(BOOLEAN_BIT))
+        .when(may_be_number & col.rlike(INTEGRAL_TEXT), F.lit(INTEGRAL_BIT))
+        .when(may_be_number & col.rlike(FRACTIONAL_TEXT), F.lit(FRACTIONAL_BIT))
+        .when(col.isin(*BOOLEAN_TEXT), F.lit(BOOLEAN_BIT))
         .otherwise(F.lit(STRING_BIT))
     )
 

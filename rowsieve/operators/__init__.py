@@ -1,6 +1,14 @@
 """Row rules, lookup enrichment, metrics, checks and profiles over DataFrames."""
 
-from rowsieve.operators.checks import Check, Verification, failed_constraints, overall_status, verify
+from rowsieve.operators.checks import (
+    Check,
+    Verification,
+    check_status,
+    evaluate,
+    failed_constraints,
+    overall_status,
+    verify,
+)
 from rowsieve.operators.enrich import enrich, unmatched
 from rowsieve.operators.metrics import (
     ApproxDistinct,
@@ -46,8 +54,10 @@ __all__ = [
     "TimestampRule",
     "Uniqueness",
     "Verification",
+    "check_status",
     "compute_metrics",
     "enrich",
+    "evaluate",
     "exact_quantiles",
     "failed_constraints",
     "histograms",

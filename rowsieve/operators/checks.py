@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,6 +121,8 @@ def evaluate(metrics: DataFrame, checks: Sequence[Check]) -> DataFrame:
     The metric rows are as many as the checks name, so they are broadcast.
     """
     listed = [(check, constraint) for check in checks for constraint in check.constraints]
+    if not listed:
+        raise ValueError("no constraints to evaluate")
     rows = [
         (no, c.description, c.level, k.label, k.assertion_text, *identity(k.metric))
         for no, (c, k) in enumerate(listed)
@@ -128,9 +131,11 @@ def evaluate(metrics: DataFrame, checks: Sequence[Check]) -> DataFrame:
     known = metrics.select("entity", "instance", F.col("name").alias("metric"), "value")
     laid = constraints.join(F.broadcast(known), ["entity", "instance", "metric"], "left")
 
-    met = F.lit(None).cast("boolean")
-    for no, (_, constraint) in enumerate(listed):
-        met = F.when(F.col("no") == no, constraint.condition()).otherwise(met)
+    met = reduce(
+        lambda chain, case: chain.when(F.col("no") == case[0], case[1][1].condition()),
+        enumerate(listed),
+        F,
+    )
     passed = F.coalesce(met, F.lit(False))
     message = (
         F.when(passed, F.lit(""))

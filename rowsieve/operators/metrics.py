@@ -262,11 +262,10 @@ def frequencies(df: DataFrame, keys: list[list[Column]]) -> DataFrame:
     )
     # grouping_id has a bit per column, first column highest, set where the column is left out.
     everything = 2 ** len(names) - 1
-    key_no = F.lit(None).cast("int")
+    key_no = F
     for i, members in enumerate(sets):
         used = sum(2 ** (len(names) - 1 - names.index(name)) for name in members)
-        is_mine = (F.col("set_id") == everything - used) & some_value(members)
-        key_no = F.when(is_mine, F.lit(i)).otherwise(key_no)
+        key_no = key_no.when((F.col("set_id") == everything - used) & some_value(members), i)
     return counted.select(key_no.alias("key_no"), "occurrences").where("key_no is not null")
 
 

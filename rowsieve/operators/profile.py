@@ -48,49 +48,48 @@ def _inferred(classes: Column) -> Column:
     )
 
 
-def profile_columns(df: DataFrame, *, rsd: float = 0.05) -> DataFrame:
+_STATISTICS = {"minimum": F.min, "maximum": F.max, "mean": F.avg, "std_dev": F.stddev_pop}
+
+
+def profile_columns(
+    df: DataFrame, *, rsd: float = 0.05, distinct: bool = True, statistics: bool = True
+) -> DataFrame:
     """One row per column, from a single aggregate over the table.
 
-    ``column, completeness, inferred_datatype, approx_distinct_values, minimum,
-    maximum, mean, std_dev``; the last four are null unless the column is a number
-    or text that is numeric throughout. Text is classed once per value and parsed
-    as a number only where its class is numeric.
+    ``column, completeness, inferred_datatype``; with ``distinct`` also
+    ``approx_distinct_values``; with ``statistics`` also ``minimum, maximum, mean,
+    std_dev``, which are null unless the column is a number or text that is numeric
+    throughout. Text is classed once per value and parsed as a number only where its
+    class is numeric.
     """
     prepared, aggregates, rows = [], [F.count(F.lit(1)).alias("n")], []
     for i, field in enumerate(df.schema):
-        col, raw, kind, number = column(field.name), f"c{i}", f"t{i}", f"x{i}"
-        prepared.append(col.alias(raw))
-        aggregates.append(F.count(raw).alias(f"n{i}"))
-        aggregates.append(F.approx_count_distinct(raw, rsd).alias(f"d{i}"))
+        raw, kind = f"c{i}", f"t{i}"
         is_text = isinstance(field.dataType, T.StringType)
         is_number = isinstance(field.dataType, T.NumericType)
+        prepared.append(column(field.name).alias(raw))
+        aggregates.append(F.count(raw).alias(f"n{i}"))
+        value, inferred = F.col(raw).cast("double"), F.lit(_declared(field.dataType))
         if is_text:
-            prepared.append(type_class(col).alias(kind))
+            prepared.append(type_class(column(field.name)).alias(kind))
             aggregates.append(F.bit_or(kind).alias(kind))
             numeric = F.col(kind).isin(INTEGRAL_BIT, FRACTIONAL_BIT)
-            value = F.when(numeric, F.col(raw).try_cast("double"))
-            inferred = _inferred(F.col(kind))
-        else:
-            value = F.col(raw).cast("double")
-            inferred = F.lit(_declared(field.dataType))
-        statistics = {"minimum": F.min, "maximum": F.max, "mean": F.avg, "std_dev": F.stddev_pop}
-        facts = {}
-        for name, aggregate in statistics.items():
+            value, inferred = F.when(numeric, F.col(raw).try_cast("double")), _inferred(F.col(kind))
+        facts = {
+            "column": F.lit(field.name),
+            "completeness": F.try_divide(F.col(f"n{i}"), F.col("n")),
+            "inferred_datatype": inferred,
+        }
+        if distinct:
+            aggregates.append(F.approx_count_distinct(raw, rsd).alias(f"d{i}"))
+            facts["approx_distinct_values"] = F.col(f"d{i}")
+        for name, aggregate in _STATISTICS.items() if statistics else ():
+            fact = F.lit(None).cast("double")
             if is_text or is_number:
                 aggregates.append(aggregate(value).alias(f"{name}{i}"))
                 fact = F.col(f"{name}{i}")
-                facts[name] = F.when(inferred.isin(INTEGRAL, FRACTIONAL), fact) if is_text else fact
-            else:
-                facts[name] = F.lit(None).cast("double")
-        rows.append(
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.try_divide(F.col(f"n{i}"), F.col("n")).alias("completeness"),
-                inferred.alias("inferred_datatype"),
-                F.col(f"d{i}").alias("approx_distinct_values"),
-                *[fact.alias(name) for name, fact in facts.items()],
-            )
-        )
+            facts[name] = F.when(inferred.isin(INTEGRAL, FRACTIONAL), fact) if is_text else fact
+        rows.append(F.struct(*[fact.alias(name) for name, fact in facts.items()]))
     return df.select(*prepared).agg(*aggregates).select(F.inline(F.array(*rows)))
 
 

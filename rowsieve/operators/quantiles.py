@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from rowsieve.functions import column, literal_rows
 
 GRID = 200
-ACCURACY = 2000
+ACCURACY = 1000
 
 _RESULT_TYPES = {"column": "string", "quantile": "double", "value": "double"}
 
 
-@dataclass
+@dataclass(eq=False)
 class _Search:
     """Search for one quantile; the answer is ``low``, ``high`` or strictly between."""
 
@@ -92,19 +92,33 @@ class _Search:
         self.low = self.low if first <= 0 else grid[first]
         self.high = self.high if last >= GRID else grid[last]
 
-    def settle(self, df: DataFrame) -> None:
-        """Running count over the few rows of the last counted bracket."""
-        self.low, self.high = self.wider
-        values = (
-            df.where(self.between())
-            .groupBy(column(self.column).alias("v"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-        reached = values.select("v", upto.alias("upto")).where(
-            F.col("upto") >= F.lit(self.rank - self.before)
-        )
-        self.found(reached.agg(F.min("v").alias("v")).first()["v"])
+
+
+def _settle(table: DataFrame, searches: list[_Search]) -> None:
+    """Find the rank in each last counted bracket by running counts, all in one scan."""
+    for search in searches:
+        search.low, search.high = search.wider
+    picked = table.select(
+        *[
+            F.when(s.between(), column(s.column)).cast("double").alias(str(i))
+            for i, s in enumerate(searches)
+        ]
+    )
+    values = (
+        picked.unpivot([], picked.columns, "search", "v")
+        .where(F.col("v").isNotNull())
+        .groupBy("search", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = Window.partitionBy("search").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = F.element_at(
+        F.create_map(*[F.lit(x) for i, s in enumerate(searches) for x in (str(i), s.rank - s.before)]),
+        F.col("search"),
+    )
+    reached = values.select("search", "v", F.sum("n").over(order).alias("upto"))
+    answers = reached.where(F.col("upto") >= wanted).groupBy("search").agg(F.min("v").alias("v"))
+    for row in answers.collect():
+        searches[int(row["search"])].found(row["v"])
 
 
 def exact_quantiles(
@@ -113,24 +127,27 @@ def exact_quantiles(
     """``column, quantile, value``: the smallest value whose cumulative share reaches it.
 
     Numeric columns; null on a column without values. Searches share their scans,
-    which read only the searched columns. At most ``settle_rows`` rows are ever
-    ordered in one task.
+    which read only the searched columns. At most ``settle_rows`` rows per search are
+    ever ordered in one task.
     """
     searches = [_Search(name, quantile) for name, quantile in targets]
     table = df.select(*[column(name) for name in dict.fromkeys(name for name, _ in targets)])
-    while open_searches := [search for search in searches if not search.done]:
+    small: list[_Search] = []
+    while wide := [search for search in searches if not search.done and search not in small]:
         row = table.agg(
             *[
                 F.struct(*[part.alias(key) for key, part in search.aggregates().items()]).alias(
                     f"s{i}"
                 )
-                for i, search in enumerate(open_searches)
+                for i, search in enumerate(wide)
             ]
         ).first()
-        for search, seen in zip(open_searches, row):
+        for search, seen in zip(wide, row):
             search.narrow(seen.asDict())
             if not search.done and search.inside is not None and search.inside <= settle_rows:
-                search.settle(table)
+                small.append(search)
+    if small:
+        _settle(table, small)
     rows = [
         (s.column, s.quantile, None if s.value is None else float(s.value)) for s in searches
     ]

@@ -123,7 +123,17 @@ class RowSchema:
         return found
 
     def is_valid(self) -> Column:
-        return reduce(lambda left, right: left & right, self.tests().values(), F.lit(True))
+        """All tests at once, reading each column as rarely as they allow."""
+        parts = []
+        for rule in self.rules:
+            col, tests = column(rule.name), list(rule.tests().values())
+            if rule.is_nullable:
+                parts += [col.isNull() | test for test in tests]
+            elif tests:
+                parts += [F.coalesce(test, F.lit(False)) for test in tests]
+            else:
+                parts.append(col.isNotNull())
+        return reduce(lambda left, right: left & right, parts) if parts else F.lit(True)
 
     def failed(self) -> Column:
         """Keys of the failed tests; only rows that fail pay for building the list."""
@@ -161,9 +171,10 @@ class RowSchema:
 
     def counts(self, df: DataFrame) -> DataFrame:
         """One row: ``num_valid_rows``, ``num_invalid_rows``."""
+        valid = F.count_if(self.is_valid())
         return df.agg(
-            F.count_if(self.is_valid()).alias("num_valid_rows"),
-            F.count_if(~self.is_valid()).alias("num_invalid_rows"),
+            valid.alias("num_valid_rows"),
+            (F.count(F.lit(1)) - valid).alias("num_invalid_rows"),
         )
 
     def failure_counts(self, df: DataFrame) -> DataFrame:

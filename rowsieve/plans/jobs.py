@@ -7,17 +7,18 @@ was running and nothing else: no job here depends on cached blocks.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowsieve.functions import literal_rows
 from rowsieve.operators.checks import Check, Verification, evaluate, required_metrics
 from rowsieve.operators.metrics import compute_metrics
 from rowsieve.operators.profile import HISTOGRAM_THRESHOLD, histograms, profile_columns
-from rowsieve.operators.rules import IS_VALID, RowSchema
+from rowsieve.operators.rules import FAILED, IS_VALID, RowSchema
 from rowsieve.sources.history import (
     ResultKey,
     append_metrics,
@@ -25,7 +26,7 @@ from rowsieve.sources.history import (
     read_history,
     run_metrics,
 )
-from rowsieve.sources.scratch import fresh_path
+from rowsieve.sources.scratch import discard, fresh_path
 from rowsieve.sources.sinks import (
     write_invalid_csv,
     write_profile_json,
@@ -36,6 +37,20 @@ from rowsieve.sources.sinks import (
 _COUNTS_TYPES = {"num_valid_rows": "bigint", "num_invalid_rows": "bigint"}
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the length of one write."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @dataclass(frozen=True)
 class GateOutcome:
     num_valid_rows: int
@@ -43,7 +58,6 @@ class GateOutcome:
     valid_orc: str
     valid_csv: str
     invalid_csv: str
-    staging: str
     gauges: DataFrame
 
 
@@ -55,42 +69,63 @@ def run_gate(
     *,
     dataset: str,
     reasons: bool = False,
+    staged: bool = True,
     metrics_path: str | None = None,
     start_millis: int | None = None,
     end_millis: int | None = None,
 ) -> GateOutcome:
     """Check every row, write valid rows as ORC and CSV and invalid ones to quarantine.
 
-    The source (with whatever join made it) is computed once: flagged rows go to a
-    Parquet staging table partitioned by outcome, counted on the way, and the three
-    outputs read their partition of it. Since nothing is overwritten before staging
-    is complete, an output may even replace the source.
+    Staged, the source (with whatever join made it) is computed once: flagged rows go
+    to a Parquet table partitioned by outcome, and each output reads its partition of
+    it. That is right for text, joins and anything else that is dear to compute, and
+    since nothing is overwritten before staging is complete, an output may even
+    replace the source. The staging table is removed at the end.
+
+    With ``staged=False`` each output scans the source itself, which saves the copy
+    where the source is a columnar table on its own.
+
+    Either way the rows are counted by the first write, not by a pass of their own.
     """
     spark = df.sparkSession
     started = time.time_ns() // 1_000_000 if start_millis is None else start_millis
     counted = Observation()
-    flagged = schema.flag(df).observe(
+    flagged = schema.flag(df)
+    if not reasons:
+        flagged = flagged.drop(FAILED)
+    observed = flagged.observe(
         counted,
         F.count_if(F.col(IS_VALID)).alias("valid"),
         F.count_if(~F.col(IS_VALID)).alias("invalid"),
     )
-    staging = fresh_path(spark, f"{name}-staging")
-    flagged.write.partitionBy(IS_VALID).parquet(staging)
-    num_valid, num_invalid = counted.get["valid"], counted.get["invalid"]
 
-    staged = spark.read.schema(flagged.schema).parquet(staging).select(*flagged.columns)
-    valid = schema.typed(staged.where(F.col(IS_VALID)))
-    invalid = schema.untyped(staged.where(~F.col(IS_VALID)), reasons=reasons)
-    valid_orc = write_valid_orc(valid, out_dir, name)
-    valid_csv = write_valid_csv(valid, out_dir, name)
-    invalid_csv = write_invalid_csv(invalid, out_dir, name)
+    def outputs(first: DataFrame, others: DataFrame) -> tuple[str, str, str]:
+        return (
+            write_valid_orc(schema.typed(first.where(F.col(IS_VALID))), out_dir, name),
+            write_valid_csv(schema.typed(others.where(F.col(IS_VALID))), out_dir, name),
+            write_invalid_csv(
+                schema.untyped(others.where(~F.col(IS_VALID)), reasons=reasons), out_dir, name
+            ),
+        )
+
+    if staged:
+        staging = fresh_path(spark, f"{name}-staging")
+        # One open file per outcome and task; otherwise each task sorts its rows by outcome.
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+            observed.write.partitionBy(IS_VALID).parquet(staging)
+        rows = spark.read.schema(flagged.schema).parquet(staging)
+        valid_orc, valid_csv, invalid_csv = outputs(rows, rows)
+        discard(spark, staging)
+    else:
+        valid_orc, valid_csv, invalid_csv = outputs(observed, flagged)
 
+    num_valid, num_invalid = counted.get["valid"], counted.get["invalid"]
     counts = literal_rows(spark, [(num_valid, num_invalid)], _COUNTS_TYPES)
     ended = time.time_ns() // 1_000_000 if end_millis is None else end_millis
     gauges = run_metrics(counts, job=name, dataset=dataset, start_millis=started, end_millis=ended)
     if metrics_path is not None:
         append_run_metrics(gauges, metrics_path)
-    return GateOutcome(num_valid, num_invalid, valid_orc, valid_csv, invalid_csv, staging, gauges)
+    return GateOutcome(num_valid, num_invalid, valid_orc, valid_csv, invalid_csv, gauges)
 
 
 def run_verification(

@@ -190,13 +190,14 @@ def enriched_gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["description"],
         mark_unmatched=True,
     )
-    valid = order_rules().is_valid()
+    rows, enriched = F.count(F.lit(1)), F.count_if(MATCHED)
+    valid = F.count_if(F.col(MATCHED) & order_rules().is_valid())
     return marked.agg(
-        F.count(F.lit(1)).alias("num_rows"),
-        F.count_if(MATCHED).alias("num_enriched"),
-        F.count_if(~F.col(MATCHED)).alias("num_lost"),
-        F.count_if(F.col(MATCHED) & valid).alias("num_valid_rows"),
-        F.count_if(F.col(MATCHED) & ~valid).alias("num_invalid_rows"),
+        rows.alias("num_rows"),
+        enriched.alias("num_enriched"),
+        (rows - enriched).alias("num_lost"),
+        valid.alias("num_valid_rows"),
+        (enriched - valid).alias("num_invalid_rows"),
     )
 
 
@@ -770,7 +771,7 @@ def text_types_sql(source: str, names: list[str]) -> str:
 def profile_table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The short profile of two tables; its distinct counts are in ``profile_distinct``."""
     profiles = [
-        profile_table(profile_columns(df), 1_700_000_000)
+        profile_table(profile_columns(df, statistics=False), 1_700_000_000)
         for df in (table(spark, sf_dir, "customer"), orders_raw(spark, sf_dir))
     ]
     both = reduce(DataFrame.unionAll, profiles).drop("approx_distinct_values")
@@ -812,9 +813,7 @@ _LINEITEM_TEXT = f"(SELECT {', '.join(_LINEITEM_TEXTS)} FROM lineitem) texts"
 )
 def profile_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "lineitem").selectExpr(*_LINEITEM_TEXTS)
-    profile = profile_columns(texts).select(
-        "column", "completeness", "inferred_datatype", "minimum", "maximum"
-    )
+    profile = profile_columns(texts, distinct=False).drop("mean", "std_dev")
     return rounded(profile, "completeness", "minimum", "maximum")
 
 
@@ -861,8 +860,8 @@ _LINEITEM_NUMBERS = [
     )
 )
 def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = profile_columns(table(spark, sf_dir, "lineitem").select(*_LINEITEM_NUMBERS))
-    facts = profile.select("column", "minimum", "maximum", "mean", "std_dev")
+    numbers = table(spark, sf_dir, "lineitem").select(*_LINEITEM_NUMBERS)
+    facts = profile_columns(numbers, distinct=False).drop("completeness", "inferred_datatype")
     return rounded(facts, "minimum", "maximum", "mean", "std_dev")
 
 
@@ -901,7 +900,8 @@ def profile_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def low_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = profile_table(profile_columns(table(spark, sf_dir, "lineitem")), 1_700_000_000)
+    facts = profile_columns(table(spark, sf_dir, "lineitem"), statistics=False)
+    profile = profile_table(facts, 1_700_000_000)
     return low_cardinality_columns(profile, below=30)
 
 

@@ -10,13 +10,19 @@ from rowsieve.sources.history import (
     success_metrics,
 )
 from rowsieve.sources.ranges import integer_range
-from rowsieve.sources.scratch import fresh_path, scratch_root
-from rowsieve.sources.sinks import write_invalid_csv, write_profile_json, write_valid_csv, write_valid_orc
+from rowsieve.sources.scratch import discard, fresh_path, scratch_root
+from rowsieve.sources.sinks import (
+    write_invalid_csv,
+    write_profile_json,
+    write_valid_csv,
+    write_valid_orc,
+)
 
 __all__ = [
     "ResultKey",
     "append_metrics",
     "append_run_metrics",
+    "discard",
     "fresh_path",
     "integer_range",
     "read_delimited",

@@ -31,3 +31,12 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path that no other run uses, so nothing that is being read gets overwritten."""
     return f"{scratch_root(spark)}/rowsieve/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``fresh_path`` named, once nothing reads it any more."""
+    if not path.startswith(f"{scratch_root(spark)}/rowsieve/"):
+        raise ValueError(f"{path} is not a scratch table")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(hadoop, True)
