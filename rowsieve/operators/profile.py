@@ -62,19 +62,18 @@ def profile_columns(
     throughout. Text is classed once per value and parsed as a number only where its
     class is numeric.
     """
-    prepared, aggregates, rows = [], [F.count(F.lit(1)).alias("n")], []
+    classed, numbered, aggregates, rows = [], [], [F.count(F.lit(1)).alias("n")], []
     for i, field in enumerate(df.schema):
-        raw, kind = f"c{i}", f"t{i}"
+        raw, kind, number = f"c{i}", f"t{i}", f"x{i}"
         is_text = isinstance(field.dataType, T.StringType)
         is_number = isinstance(field.dataType, T.NumericType)
-        prepared.append(column(field.name).alias(raw))
+        classed.append(column(field.name).alias(raw))
         aggregates.append(F.count(raw).alias(f"n{i}"))
-        value, inferred = F.col(raw).cast("double"), F.lit(_declared(field.dataType))
+        inferred = F.lit(_declared(field.dataType))
         if is_text:
-            prepared.append(type_class(column(field.name)).alias(kind))
+            classed.append(type_class(column(field.name)).alias(kind))
             aggregates.append(F.bit_or(kind).alias(kind))
-            numeric = F.col(kind).isin(INTEGRAL_BIT, FRACTIONAL_BIT)
-            value, inferred = F.when(numeric, F.col(raw).try_cast("double")), _inferred(F.col(kind))
+            inferred = _inferred(F.col(kind))
         facts = {
             "column": F.lit(field.name),
             "completeness": F.try_divide(F.col(f"n{i}"), F.col("n")),
@@ -83,14 +82,20 @@ def profile_columns(
         if distinct:
             aggregates.append(F.approx_count_distinct(raw, rsd).alias(f"d{i}"))
             facts["approx_distinct_values"] = F.col(f"d{i}")
+        if statistics and is_text:
+            is_numeric = F.col(kind).isin(INTEGRAL_BIT, FRACTIONAL_BIT)
+            numbered.append(F.when(is_numeric, F.col(raw).try_cast("double")).alias(number))
+        elif statistics and is_number:
+            numbered.append(F.col(raw).cast("double").alias(number))
         for name, aggregate in _STATISTICS.items() if statistics else ():
             fact = F.lit(None).cast("double")
             if is_text or is_number:
-                aggregates.append(aggregate(value).alias(f"{name}{i}"))
+                aggregates.append(aggregate(number).alias(f"{name}{i}"))
                 fact = F.col(f"{name}{i}")
             facts[name] = F.when(inferred.isin(INTEGRAL, FRACTIONAL), fact) if is_text else fact
         rows.append(F.struct(*[fact.alias(name) for name, fact in facts.items()]))
-    return df.select(*prepared).agg(*aggregates).select(F.inline(F.array(*rows)))
+    values = df.select(*classed).select("*", *numbered)
+    return values.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
 def profile_table(profile: DataFrame, timestamp: int) -> DataFrame:

@@ -69,55 +69,41 @@ def run_gate(
     *,
     dataset: str,
     reasons: bool = False,
-    staged: bool = True,
     metrics_path: str | None = None,
     start_millis: int | None = None,
     end_millis: int | None = None,
 ) -> GateOutcome:
     """Check every row, write valid rows as ORC and CSV and invalid ones to quarantine.
 
-    Staged, the source (with whatever join made it) is computed once: flagged rows go
-    to a Parquet table partitioned by outcome, and each output reads its partition of
-    it. That is right for text, joins and anything else that is dear to compute, and
-    since nothing is overwritten before staging is complete, an output may even
-    replace the source. The staging table is removed at the end.
-
-    With ``staged=False`` each output scans the source itself, which saves the copy
-    where the source is a columnar table on its own.
-
-    Either way the rows are counted by the first write, not by a pass of their own.
+    The source (with whatever join made it) is computed once: flagged rows go to a
+    Parquet staging table partitioned by outcome, counted on the way, and the outputs
+    read their partition of it. Since nothing is overwritten before staging
+    is complete, an output may even replace the source. The staging table is removed
+    at the end.
     """
     spark = df.sparkSession
     started = time.time_ns() // 1_000_000 if start_millis is None else start_millis
     counted = Observation()
-    flagged = schema.flag(df)
-    if not reasons:
-        flagged = flagged.drop(FAILED)
-    observed = flagged.observe(
+    flagged = schema.flag(df).observe(
         counted,
         F.count_if(F.col(IS_VALID)).alias("valid"),
         F.count_if(~F.col(IS_VALID)).alias("invalid"),
     )
-
-    def outputs(first: DataFrame, others: DataFrame) -> tuple[str, str, str]:
-        return (
-            write_valid_orc(schema.typed(first.where(F.col(IS_VALID))), out_dir, name),
-            write_valid_csv(schema.typed(others.where(F.col(IS_VALID))), out_dir, name),
-            write_invalid_csv(
-                schema.untyped(others.where(~F.col(IS_VALID)), reasons=reasons), out_dir, name
-            ),
-        )
-
-    if staged:
-        staging = fresh_path(spark, f"{name}-staging")
-        # One open file per outcome and task; otherwise each task sorts its rows by outcome.
-        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
-            observed.write.partitionBy(IS_VALID).parquet(staging)
-        rows = spark.read.schema(flagged.schema).parquet(staging)
-        valid_orc, valid_csv, invalid_csv = outputs(rows, rows)
-        discard(spark, staging)
-    else:
-        valid_orc, valid_csv, invalid_csv = outputs(observed, flagged)
+    if not reasons:
+        flagged = flagged.drop(FAILED)
+    staging = fresh_path(spark, f"{name}-staging")
+    # One open file per outcome and task; otherwise each task sorts its rows by outcome first.
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        flagged.write.partitionBy(IS_VALID).parquet(staging)
+
+    staged = spark.read.schema(flagged.schema).parquet(staging)
+    valid = schema.typed(staged.where(F.col(IS_VALID)))
+    invalid = schema.untyped(staged.where(~F.col(IS_VALID)), reasons=reasons)
+    valid_orc = write_valid_orc(valid, out_dir, name)
+    # The ORC rows are typed already, so the CSV need not parse every value again.
+    valid_csv = write_valid_csv(spark.read.schema(valid.schema).orc(valid_orc), out_dir, name)
+    invalid_csv = write_invalid_csv(invalid, out_dir, name)
+    discard(spark, staging)
 
     num_valid, num_invalid = counted.get["valid"], counted.get["invalid"]
     counts = literal_rows(spark, [(num_valid, num_invalid)], _COUNTS_TYPES)

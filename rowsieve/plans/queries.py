@@ -69,12 +69,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def registered(sql: str) -> Callable[[Query], Query]:
+def registered(sql: str, *, name: str | None = None) -> Callable[[Query], Query]:
     def register(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        # The raw table's text is shared with Spark, whose name for VARCHAR is STRING;
-        # the other engine takes both.
-        ORACLES[query.__name__] = sql
+        QUERIES[name or query.__name__] = query
+        ORACLES[name or query.__name__] = sql
         return query
 
     return register
@@ -712,7 +710,8 @@ def history_append_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL SELECT 'num_Invalid_Rows_count', 'Num of invalid rows in dataset',
             CAST(num_invalid_rows AS DOUBLE) FROM n
         UNION ALL SELECT 'job_total_duration_sec', 'job duration', CAST(61 AS DOUBLE)
-    )"""
+    )""",
+    name="run_metrics",
 )
 def run_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     gauges = run_metrics(
@@ -766,7 +765,8 @@ def text_types_sql(source: str, names: list[str]) -> str:
         f"SELECT '{name}' AS \"column\", count({name}) / count(*) AS completeness,"
         f" '{kind}' AS inferred_datatype FROM customer"
         for name, kind in _CUSTOMER_TYPES.items())}
-    UNION ALL {text_types_sql(_RAW, ["order_id", "cust_id", "status", "priority_code", "order_date"])})"""
+    UNION ALL {text_types_sql(_RAW, ["order_id", "cust_id", "status", "priority_code", "order_date"])})""",
+    name="profile_table",
 )
 def profile_table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The short profile of two tables; its distinct counts are in ``profile_distinct``."""
@@ -897,7 +897,8 @@ def profile_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     " UNION ALL ".join(
         f"""SELECT '{name}' AS "column" FROM lineitem HAVING count(DISTINCT {name}) < 30"""
         for name in [*_LINEITEM_NUMBERS, "l_returnflag", "l_linestatus", "l_shipdate"]
-    )
+    ),
+    name="low_cardinality_columns",
 )
 def low_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = profile_columns(table(spark, sf_dir, "lineitem"), statistics=False)
