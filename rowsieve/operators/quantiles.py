@@ -1,7 +1,7 @@
 """Exact quantiles by narrowing: no sort, no task that holds a column.
 
 A quantile summary brackets the wanted rank; the next scan counts the rows up to
-the bracket and summarises only those inside it. Each scan leaves about a
+the bracket and summarises only those inside it. Each scan leaves less than a
 hundredth of the rows, so a few suffice, and what ends in one task is a bounded
 remainder. The driver sees one small row per scan. Ranks are counted, never
 estimated: where a summary misses, the next scan looks on the side it missed.
@@ -12,13 +12,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsieve.functions import column, literal_rows
 
-GRID = 200
+GRID = 1000
 ACCURACY = 1000
 
 _RESULT_TYPES = {"column": "string", "quantile": "double", "value": "double"}
@@ -69,7 +70,8 @@ class _Search:
         if self.rank is None:
             if seen["inside"] == 0:
                 return self.found(None)
-            self.rank = max(1, math.ceil(self.quantile * seen["inside"]))
+            # as the decimal that was written, since 0.07 * 100 is above 7 in floating point
+            self.rank = max(1, math.ceil(Fraction(str(self.quantile)) * seen["inside"]))
         position = self.rank - seen["low"]
         if position <= 0:
             self.low, self.high, self.inside = self.wider[0], self.low, None

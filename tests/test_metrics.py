@@ -163,6 +163,13 @@ def test_exact_quantiles_against_sorting(spark, shape, settle_rows):
         assert row["value"] == ordered[rank - 1], (row, shape)
 
 
+def test_exact_quantile_ranks_are_exact(spark):
+    df = spark.range(1, 101)
+    targets = [("id", i / 100) for i in (7, 14, 28, 29, 55, 56, 57, 58)]
+    got = {row["quantile"]: row["value"] for row in exact_quantiles(df, targets).collect()}
+    assert got == {i / 100: float(i) for i in (7, 14, 28, 29, 55, 56, 57, 58)}
+
+
 def test_exact_quantile_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v int")
     assert exact_quantiles(df, [("v", 0.5)]).first()["value"] is None
