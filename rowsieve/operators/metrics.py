@@ -115,7 +115,10 @@ class ApproxQuantile:
         return f"ApproxQuantile-{self.quantile}"
 
     def aggregate(self, schema: T.StructType) -> Column:
-        return F.percentile_approx(column(self.column), F.lit(self.quantile), self.accuracy)
+        col = column(self.column)
+        if isinstance(schema[self.column].dataType, T.StringType):
+            col = col.try_cast("double")
+        return F.percentile_approx(col, F.lit(self.quantile), self.accuracy)
 
 
 @dataclass(frozen=True)

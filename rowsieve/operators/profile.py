@@ -80,7 +80,10 @@ def profile_columns(
             "inferred_datatype": inferred,
         }
         if distinct:
-            aggregates.append(F.approx_count_distinct(raw, rsd).alias(f"d{i}"))
+            # maps cannot be compared, so they have no distinct count
+            comparable = "map<" not in field.dataType.simpleString()
+            counted = F.approx_count_distinct(raw, rsd) if comparable else F.first(F.lit(None))
+            aggregates.append(counted.cast("bigint").alias(f"d{i}"))
             facts["approx_distinct_values"] = F.col(f"d{i}")
         if statistics and is_text:
             is_numeric = F.col(kind).isin(INTEGRAL_BIT, FRACTIONAL_BIT)

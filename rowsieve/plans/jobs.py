@@ -140,6 +140,7 @@ class ProfileOutcome:
     profile: DataFrame
     histograms: DataFrame | None
     profile_json: str
+    histogram_json: str | None
 
 
 def run_profile(
@@ -150,16 +151,22 @@ def run_profile(
     *,
     threshold: int = HISTOGRAM_THRESHOLD,
 ) -> ProfileOutcome:
-    """Profile all columns, save the profile, add histograms of the low-cardinality ones.
+    """Profile all columns, then count the values of the low-cardinality ones; save both.
 
-    The first pass is saved and read back, so looking at the profile again costs
-    nothing. Which columns get a histogram depends on it: the driver fetches one
-    name per such column.
+    Each pass is saved and read back, so looking at it again costs nothing. Which
+    columns get a histogram depends on the first: the driver fetches one name per
+    such column.
     """
-    profile = profile_columns(df)
-    path = write_profile_json(profile, out_dir, dataset, instant)
-    saved = df.sparkSession.read.schema(profile.schema).json(path)
+    spark, profile = df.sparkSession, profile_columns(df)
+    profile_json = write_profile_json(profile, out_dir, dataset, instant)
+    saved = spark.read.schema(profile.schema).json(profile_json)
     small = saved.where(F.col("approx_distinct_values") <= threshold).select("column")
     names = {row["column"] for row in small.collect()}
     ordered = [name for name in df.columns if name in names]
-    return ProfileOutcome(saved, histograms(df, ordered) if ordered else None, path)
+    if not ordered:
+        return ProfileOutcome(saved, None, profile_json, None)
+    values = histograms(df, ordered)
+    histogram_json = write_profile_json(values, out_dir, dataset, instant, part="_histograms")
+    return ProfileOutcome(
+        saved, spark.read.schema(values.schema).json(histogram_json), profile_json, histogram_json
+    )

@@ -38,8 +38,10 @@ def write_invalid_csv(invalid: DataFrame, out_dir: str, name: str) -> str:
     return path
 
 
-def write_profile_json(profile: DataFrame, out_dir: str, dataset: str, instant: str) -> str:
-    """Column profiles as JSON under a name that carries the run's instant."""
-    path = f"{out_dir.rstrip('/')}/profile/{file_stamp(instant)}_{dataset}.json"
-    profile.withColumn("run_ts", F.lit(instant)).coalesce(1).write.mode("errorifexists").json(path)
+def write_profile_json(
+    profile: DataFrame, out_dir: str, dataset: str, instant: str, *, part: str = ""
+) -> str:
+    """Column profiles (or a further part of them) as JSON, named by the run's instant."""
+    path = f"{out_dir.rstrip('/')}/profile/{file_stamp(instant)}_{dataset}{part}.json"
+    profile.withColumn("run_ts", F.lit(instant)).write.mode("errorifexists").json(path)
     return path

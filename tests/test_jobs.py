@@ -135,15 +135,14 @@ def test_verification(spark, source, tmp_path):
         .is_non_negative("votes"),
         Check("Warning", "distribution checks").has_approx_quantile("stars", 0.5, "value <= 10"),
     ]
-    typed = source.withColumn("stars", source["stars"].try_cast("int"))
     history = str(tmp_path / "history")
-    key = ResultKey(1_700_000_000_000, {"tag": "demo"})
-    run = run_verification(typed, checks, history, key)
+    key = ResultKey(1_700_000_000_000, {"tag": "demo", "site": "a"})
+    run = run_verification(source, checks, history, key)
     assert run.status().first()["status"] == "Error"
     failed = {row["constraint"]: row["message"] for row in run.failures().collect()}
     assert set(failed) == {"Size", "Uniqueness(id)"}
     assert failed["Uniqueness(id)"].startswith("value 0.833333")
-    run_verification(typed.limit(3), checks, history, ResultKey(1_700_000_100_000, {"tag": "x"}))
+    run_verification(source.limit(3), checks, history, ResultKey(1_700_000_100_000, {"tag": "x"}))
     stored = success_metrics(read_history(spark, history, tags={"tag": "demo"}), ["tag"])
     assert stored.count() == 7
     # judged from the stored rows: the source is not read again
@@ -169,6 +168,11 @@ def test_profile(spark, source, tmp_path):
     assert stars == {"5": 20, "4": 4}
     vine = done.histograms.where("column = 'vine'").first()
     assert (vine["value"], vine["absolute"], vine["ratio"]) == ("N", 24, 1.0)
+    assert done.histogram_json.endswith("_reviews.tsv_histograms.json")
+    # both parts are read from what was saved, not computed again
+    for part in (done.profile, done.histograms):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan json" in plan and "FileScan csv" not in plan
 
 
 def test_profile_without_low_cardinality_columns(spark, tmp_path):

@@ -54,6 +54,11 @@ def test_declared_types(spark):
     }
 
 
+def test_map_columns_have_no_distinct_count(spark):
+    row = profile_columns(spark.sql("SELECT map('a', 1) AS m")).first()
+    assert (row["inferred_datatype"], row["approx_distinct_values"]) == ("Unknown", None)
+
+
 def test_votes(spark):
     votes = [0] * 14 + [1] * 8 + [3, 4]
     df = spark.createDataFrame([(v,) for v in votes], "votes int")
