@@ -88,6 +88,22 @@ def test_masked_dates(spark, dates):
         assert value == expected, repr(text)
 
 
+def test_days_read_as_dates_equal_days_read_by_mask(spark, dates):
+    odd = ["0000-01-01", "2015-08-31\n", "2015-08-31T", "+015-01-02", "2015-08-3 ", "٢٠١٥-08-31", None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/Sao_Paulo", "Asia/Kathmandu"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            fast = masked_timestamp(F.col("v"), "yyyy-MM-dd")
+            slow = F.try_to_timestamp(F.col("v"), F.lit("yyyy-MM-dd"))
+            df = spark.createDataFrame([(v,) for v in [*dates, *odd]], "v string")
+            assert df.where(~fast.eqNullSafe(slow)).collect() == []
+            plan = df.select(fast.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+            assert "gettimestamp" not in plan and "typeof" not in plan
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 @pytest.mark.parametrize("pattern", ["N|Y", "^[A-Z0-9]+$", "X*", "[0-9]{3}", "e$"])
 def test_patterns(spark, texts, pattern):
     search = evaluated(spark, texts, pattern_found(F.col("v"), pattern))
