@@ -74,7 +74,7 @@ def test_only_used_lookup_columns_are_joined(fact, lookup):
 
 
 def test_hot_key_is_split_when_the_lookup_is_too_big_to_broadcast(spark):
-    """A key with half of all rows: the shuffled join splits it into several tasks."""
+    """A key, or null, with half of all rows: the shuffled join splits it into several tasks."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -91,6 +91,7 @@ def test_hot_key_is_split_when_the_lookup_is_too_big_to_broadcast(spark):
             F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 1000).alias("k"),
             F.col("id").cast("string").alias("v"),
         )
+        hot_null = fact.withColumn("k", F.nullif("k", F.lit(7)))
         lookup = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit("d").alias("d"))
         for joined, expected in [
             (enrich(fact, lookup, "k", ["d"]), 200_000),
