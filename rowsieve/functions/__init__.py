@@ -1,6 +1,7 @@
 """Column expressions shared by the operators. All are built-in Spark functions."""
 
 from rowsieve.functions.scalar import (
+    cases,
     column,
     column_label,
     day_of_millis,
@@ -16,6 +17,7 @@ from rowsieve.functions.scalar import (
 )
 
 __all__ = [
+    "cases",
     "column",
     "column_label",
     "day_of_millis",

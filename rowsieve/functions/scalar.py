@@ -7,7 +7,7 @@ the ``try_`` family and yields null instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,15 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def cases(pairs: Iterable[tuple[Column, Column | object]]) -> Column:
+    """The value of the first condition that holds, null where none does."""
+    (condition, value), *others = pairs
+    chain = F.when(condition, value)
+    for condition, value in others:
+        chain = chain.when(condition, value)
+    return chain
+
+
 def column_label(expression: Column) -> str:
     """Readable text of an expression, for reports."""
     text = str(expression)
@@ -147,7 +156,7 @@ def literal_rows(
         nothing = [F.lit(None).cast(kind).alias(name) for name, kind in types.items()]
         return one.where(F.lit(False)).select(*nothing)
     structs = [
-        F.struct(*[F.lit(item).cast(kind).alias(name) for item, (name, kind) in zip(row, types.items())])
+        F.struct(*[F.lit(x).cast(kind).alias(name) for x, (name, kind) in zip(row, types.items())])
         for row in rows
     ]
     return one.select(F.inline(F.array(*structs)))

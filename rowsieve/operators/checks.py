@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.functions import column_label, literal_rows
+from rowsieve.functions import cases, column_label, literal_rows
 from rowsieve.operators.metrics import (
     ApproxQuantile,
     Completeness,
@@ -131,11 +130,7 @@ def evaluate(metrics: DataFrame, checks: Sequence[Check]) -> DataFrame:
     known = metrics.select("entity", "instance", F.col("name").alias("metric"), "value")
     laid = constraints.join(F.broadcast(known), ["entity", "instance", "metric"], "left")
 
-    met = reduce(
-        lambda chain, case: chain.when(F.col("no") == case[0], case[1][1].condition()),
-        enumerate(listed),
-        F,
-    )
+    met = cases((F.col("no") == no, k.condition()) for no, (_, k) in enumerate(listed))
     passed = F.coalesce(met, F.lit(False))
     message = (
         F.when(passed, F.lit(""))
@@ -161,7 +156,8 @@ def evaluate(metrics: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def failed_constraints(results: DataFrame) -> DataFrame:
     """The constraints that did not hold, with why."""
-    return results.where(F.col("status") != SUCCESS).select("check", "level", "constraint", "message")
+    failed = results.where(F.col("status") != SUCCESS)
+    return failed.select("check", "level", "constraint", "message")
 
 
 def _worst(level_of_failures: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.functions import column, non_negative, share_of
+from rowsieve.functions import cases, column, non_negative, share_of
 
 
 @dataclass(frozen=True)
@@ -265,10 +265,12 @@ def frequencies(df: DataFrame, keys: list[list[Column]]) -> DataFrame:
     )
     # grouping_id has a bit per column, first column highest, set where the column is left out.
     everything = 2 ** len(names) - 1
-    key_no = F
-    for i, members in enumerate(sets):
+
+    def is_mine(members: list[str]) -> Column:
         used = sum(2 ** (len(names) - 1 - names.index(name)) for name in members)
-        key_no = key_no.when((F.col("set_id") == everything - used) & some_value(members), i)
+        return (F.col("set_id") == everything - used) & some_value(members)
+
+    key_no = cases((is_mine(members), i) for i, members in enumerate(sets))
     return counted.select(key_no.alias("key_no"), "occurrences").where("key_no is not null")
 
 

@@ -17,7 +17,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsieve.functions import column, literal_rows
+from rowsieve.functions import cases, column, literal_rows
 
 GRID = 1000
 ACCURACY = 1000
@@ -95,7 +95,6 @@ class _Search:
         self.high = self.high if last >= GRID else grid[last]
 
 
-
 def _settle(table: DataFrame, searches: list[_Search]) -> None:
     """Find the rank in each last counted bracket by running counts, all in one scan."""
     for search in searches:
@@ -113,10 +112,7 @@ def _settle(table: DataFrame, searches: list[_Search]) -> None:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     order = Window.partitionBy("search").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.element_at(
-        F.create_map(*[F.lit(x) for i, s in enumerate(searches) for x in (str(i), s.rank - s.before)]),
-        F.col("search"),
-    )
+    wanted = cases((F.col("search") == str(i), s.rank - s.before) for i, s in enumerate(searches))
     reached = values.select("search", "v", F.sum("n").over(order).alias("upto"))
     answers = reached.where(F.col("upto") >= wanted).groupBy("search").agg(F.min("v").alias("v"))
     for row in answers.collect():

@@ -143,8 +143,14 @@ class RowSchema:
             return none
         return F.when(self.is_valid(), none).otherwise(F.array_compact(F.array(*reasons)))
 
+    def _require_columns(self, df: DataFrame) -> None:
+        absent = [rule.name for rule in self.rules if rule.name not in df.columns]
+        if absent:
+            raise ValueError(f"the table has no column {absent}")
+
     def flag(self, df: DataFrame) -> DataFrame:
         """The table with ``_is_valid`` and ``_failed``; the latter costs nothing if unused."""
+        self._require_columns(df)
         taken = {IS_VALID, FAILED} & set(df.columns)
         if taken:
             raise ValueError(f"the table already has {sorted(taken)}")
@@ -171,6 +177,7 @@ class RowSchema:
 
     def counts(self, df: DataFrame) -> DataFrame:
         """One row: ``num_valid_rows``, ``num_invalid_rows``."""
+        self._require_columns(df)
         valid = F.count_if(self.is_valid())
         return df.agg(
             valid.alias("num_valid_rows"),
@@ -179,6 +186,7 @@ class RowSchema:
 
     def failure_counts(self, df: DataFrame) -> DataFrame:
         """Rows rejected by each test, from one aggregate: ``test, num_failed``."""
+        self._require_columns(df)
         tests = self.tests()
         totals = df.agg(*[F.count_if(~test).alias(key) for key, test in tests.items()])
         pairs = [

@@ -178,6 +178,9 @@ def test_mistakes_are_refused(spark):
         SCHEMA.int_column("id")
     with pytest.raises(ValueError, match="already has"):
         SCHEMA.flag(frame(spark, GOOD).withColumn("_failed", F.lit(1)))
+    for use in (SCHEMA.flag, SCHEMA.counts, SCHEMA.split):
+        with pytest.raises(ValueError, match="no column"):
+            use(frame(spark, GOOD).drop("code"))
 
 
 def test_valid_and_invalid_make_up_the_input(spark):
