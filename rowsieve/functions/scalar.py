@@ -7,6 +7,8 @@ the ``try_`` family and yields null instead.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,8 +44,9 @@ def cases(pairs: Iterable[tuple[Column, Column | object]]) -> Column:
 
 def column_label(expression: Column) -> str:
     """Readable text of an expression, for reports."""
-    text = str(expression)
-    return text.removeprefix("Column<'").removesuffix("'>")
+    text = str(expression).removeprefix("Column<'").removesuffix("'>")
+    comparison = re.fullmatch(r"([=<>!]+)\((\w+), ([^()]+)\)", text)
+    return "{1} {0} {2}".format(*comparison.groups()) if comparison else text
 
 
 def share_of(predicate: Column) -> Column:
@@ -121,9 +124,9 @@ def type_class(col: Column) -> Column:
     )
 
 
-def day_of_millis(millis: Column) -> Column:
-    """UTC day of an epoch-millisecond value, whatever the session time zone is."""
-    return F.date_from_unix_date(F.floor(millis / F.lit(86_400_000)).cast("int"))
+def day_of_millis(millis: int) -> str:
+    """UTC day of an epoch-millisecond instant."""
+    return (dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=millis)).date().isoformat()
 
 
 def elapsed_seconds(start_millis: int | Column, end_millis: int | Column) -> Column:

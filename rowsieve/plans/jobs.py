@@ -110,7 +110,7 @@ def run_gate(
     ended = time.time_ns() // 1_000_000 if end_millis is None else end_millis
     gauges = run_metrics(counts, job=name, dataset=dataset, start_millis=started, end_millis=ended)
     if metrics_path is not None:
-        append_run_metrics(gauges, metrics_path)
+        append_run_metrics(gauges, metrics_path, end_millis=ended)
     return GateOutcome(num_valid, num_invalid, valid_orc, valid_csv, invalid_csv, gauges)
 
 

@@ -1,12 +1,13 @@
 """Metric history and run metrics as append-only tables.
 
-A run appends its handful of rows to its day's partition and touches nothing
-written before. Reading prunes to the days asked for; the tag test is a residual
-filter on what is left.
+A run puts its handful of rows in a folder of its own under its day and touches
+nothing written before, so any number of jobs may write at the same time. Reading
+prunes to the days asked for; the tag test is a residual filter on what is left.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ from rowsieve.functions import day_of_millis, elapsed_seconds
 
 HISTORY_SCHEMA = (
     "entity string, instance string, name string, value double, "
-    "dataset_date bigint, tags map<string,string>, written_at bigint, ds date"
+    "dataset_date bigint, tags map<string,string>, written_at bigint, ds date, run string"
 )
 
 # Names and help texts of the three gauges of a gate run.
@@ -42,6 +43,11 @@ def with_key(metrics: DataFrame, key: ResultKey) -> DataFrame:
     )
 
 
+def _append(rows: DataFrame, path: str, millis: int) -> None:
+    folder = f"{path.rstrip('/')}/ds={day_of_millis(millis)}/run={uuid.uuid4().hex}"
+    rows.coalesce(1).write.mode("errorifexists").parquet(folder)
+
+
 def append_metrics(
     metrics: DataFrame, path: str, key: ResultKey, *, written_at: int | None = None
 ) -> None:
@@ -52,15 +58,8 @@ def append_metrics(
     a run replaces its metrics.
     """
     keyed = with_key(metrics.select("entity", "instance", "name", "value"), key)
-    rows = keyed.withColumns(
-        {
-            "written_at": F.lit(key.dataset_date if written_at is None else written_at).cast(
-                "bigint"
-            ),
-            "ds": day_of_millis(F.col("dataset_date")),
-        }
-    )
-    rows.coalesce(1).write.mode("append").partitionBy("ds").parquet(path)
+    written = key.dataset_date if written_at is None else written_at
+    _append(keyed.withColumn("written_at", F.lit(written).cast("bigint")), path, key.dataset_date)
 
 
 def read_history(
@@ -124,11 +123,6 @@ def run_metrics(
     )
 
 
-def append_run_metrics(gauges: DataFrame, path: str) -> None:
-    (
-        gauges.withColumn("ds", day_of_millis(F.col("ts")))
-        .coalesce(1)
-        .write.mode("append")
-        .partitionBy("ds")
-        .parquet(path)
-    )
+def append_run_metrics(gauges: DataFrame, path: str, *, end_millis: int) -> None:
+    """Append the gauges of a run that ended at this instant."""
+    _append(gauges, path, end_millis)

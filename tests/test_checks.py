@@ -99,6 +99,18 @@ def test_one_metric_may_serve_several_constraints(reviews):
     assert texts == {"value 4.000000 does not meet: value > 100"}
 
 
+def test_functions_are_shown_as_conditions(reviews):
+    check = (
+        Check("Error", "c")
+        .has_size(lambda n: n == 5)
+        .constrain(Size(), lambda n: n >= 10)
+        .constrain(Size(), lambda n: (n > 8) & (n < 9))
+    )
+    texts = [row["message"].split(": ")[1] for row in verify(reviews, [check]).failures().collect()]
+    assert texts[:2] == ["value = 5", "value >= 10"]
+    assert "value" in texts[2]
+
+
 def test_a_null_verdict_is_a_failure(reviews):
     run = verify(reviews, [Check("Error", "c").has_size("value > CAST(NULL AS INT)")])
     assert statuses(run) == {"Size": "Failure"}
