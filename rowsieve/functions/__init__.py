@@ -11,6 +11,7 @@ from rowsieve.functions.scalar import (
     literal_rows,
     masked_timestamp,
     non_negative,
+    number_value,
     pattern_found,
     share_of,
     type_class,
@@ -27,6 +28,7 @@ __all__ = [
     "literal_rows",
     "masked_timestamp",
     "non_negative",
+    "number_value",
     "pattern_found",
     "share_of",
     "type_class",

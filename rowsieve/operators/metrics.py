@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.functions import cases, column, non_negative, share_of
+from rowsieve.functions import cases, column, non_negative, number_value, share_of
 
 
 @dataclass(frozen=True)
@@ -115,9 +115,9 @@ class ApproxQuantile:
         return f"ApproxQuantile-{self.quantile}"
 
     def aggregate(self, schema: T.StructType) -> Column:
-        col = column(self.column)
-        if isinstance(schema[self.column].dataType, T.StringType):
-            col = col.try_cast("double")
+        col, data_type = column(self.column), schema[self.column].dataType
+        if isinstance(data_type, T.StringType):
+            col = number_value(col, data_type)
         return F.percentile_approx(col, F.lit(self.quantile), self.accuracy)
 
 
@@ -146,8 +146,8 @@ class _Statistic:
     def instance(self) -> str:
         return self.column
 
-    def number(self) -> Column:
-        return column(self.column).try_cast("double")
+    def number(self, schema: T.StructType) -> Column:
+        return number_value(column(self.column), schema[self.column].dataType)
 
 
 @dataclass(frozen=True)
@@ -155,7 +155,7 @@ class Minimum(_Statistic):
     name = "Minimum"
 
     def aggregate(self, schema: T.StructType) -> Column:
-        return F.min(self.number())
+        return F.min(self.number(schema))
 
 
 @dataclass(frozen=True)
@@ -163,7 +163,7 @@ class Maximum(_Statistic):
     name = "Maximum"
 
     def aggregate(self, schema: T.StructType) -> Column:
-        return F.max(self.number())
+        return F.max(self.number(schema))
 
 
 @dataclass(frozen=True)
@@ -171,7 +171,7 @@ class Mean(_Statistic):
     name = "Mean"
 
     def aggregate(self, schema: T.StructType) -> Column:
-        return F.avg(self.number())
+        return F.avg(self.number(schema))
 
 
 @dataclass(frozen=True)
@@ -181,7 +181,7 @@ class StandardDeviation(_Statistic):
     name = "StandardDeviation"
 
     def aggregate(self, schema: T.StructType) -> Column:
-        return F.stddev_pop(self.number())
+        return F.stddev_pop(self.number(schema))
 
 
 @dataclass(frozen=True)

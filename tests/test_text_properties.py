@@ -8,8 +8,16 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
-
-from rowsieve.functions import int_value, masked_timestamp, pattern_found, type_class
+from pyspark.sql.types import StringType
+
+from rowsieve.functions import (
+    int_value,
+    masked_timestamp,
+    non_negative,
+    number_value,
+    pattern_found,
+    type_class,
+)
 from rowsieve.functions.scalar import BOOLEAN_BIT, FRACTIONAL_BIT, INTEGRAL_BIT, STRING_BIT
 
 SEED_TEXTS = ["", " ", "-", "+", ".", "0", "-0", "007", "true", "TRUE", "2147483647", "2147483648",
@@ -55,6 +63,28 @@ def test_int_values(spark, texts):
         assert value == expected, repr(text)
 
 
+def test_guarded_casts_equal_plain_ones(spark, texts):
+    """The shape tests in front of the casts keep out only what a cast would refuse."""
+    rng = random.Random(13)
+    padded = drawn(rng, "019+-\t\n\x00\x1f\x7f\u00a0 ", 5, 3000)
+    padded += [f"{s}{n}" for s in ("", "-", "+0") for n in (2**31 - 1, 2**31, 2**63 - 1, 2**63, 10**20)]
+    df = spark.createDataFrame([(v,) for v in {*texts, *padded}], "v string")
+    col = F.col("v")
+    for guarded, plain in [
+        (int_value(col), col.try_cast("int")),
+        (int_value(col, big=True), col.try_cast("bigint")),
+        (
+            non_negative(col, StringType()),
+            F.coalesce(col.try_cast("decimal(20,10)"), F.lit(0)) >= 0,
+        ),
+    ]:
+        different = df.where(~guarded.eqNullSafe(plain)).collect()
+        assert different == []
+    double = col.try_cast("double")
+    different = df.where(~number_value(col, StringType()).eqNullSafe(double)).collect()
+    assert {row["v"].strip().lower() for row in different} <= {"nan"}
+
+
 def test_type_classes(spark, texts):
     got = evaluated(spark, texts, type_class(F.col("v")))
     for text, bit in got.items():
