@@ -22,7 +22,15 @@ NUMBER_TEXT = rf"^{NUMBER}\z"
 PADDED_NUMBER_TEXT = rf"^{BLANKS}{NUMBER}{BLANKS}\z"
 BOOLEAN_TEXT = ("true", "false")
 
-# The day mask and the only text that fits it.
+# The plain fields of a date mask, and the day mask with its usual text.
+MASK_FIELDS = {
+    "yyyy": r"[+-]?\d{4,}",
+    "MM": r"\d{2}",
+    "dd": r"\d{2}",
+    "HH": r"\d{2}",
+    "mm": r"\d{2}",
+    "ss": r"\d{2}",
+}
 ISO_DAY = "yyyy-MM-dd"
 ISO_DAY_TEXT = r"^\d{4}-\d{2}-\d{2}\z"
 
@@ -92,18 +100,35 @@ def number_value(col: Column, data_type: T.DataType) -> Column:
     return col.cast("double")
 
 
+def mask_shape(mask: str) -> str | None:
+    """Pattern that all text under a mask of plain fields meets; None for other masks."""
+    shape = ""
+    for part in re.findall(r"[A-Za-z]+|[^A-Za-z]+", mask):
+        if part in MASK_FIELDS:
+            shape += MASK_FIELDS[part]
+        elif part[0].isalpha() or set(part) & set("'[]{}#"):
+            return None
+        else:
+            shape += re.escape(part)
+    return rf"^{shape}\z"
+
+
 def masked_timestamp(col: Column, mask: str) -> Column:
     """Timestamp read by a date mask, null where the text does not fit it.
 
-    Text under the plain day mask is read as a date, which takes half the time of the
-    mask parser; the choice is made by the column's type while the plan is optimised.
+    The mask parser is slow to fail, so text is shown to it only in the mask's shape.
+    Text under the plain day mask is read as a date, which is quicker still. Which
+    way is taken depends on the column's type and is settled when the plan is made.
     """
-    by_mask = F.try_to_timestamp(col, F.lit(mask))
-    if mask != ISO_DAY:
+    by_mask, shape = F.try_to_timestamp(col, F.lit(mask)), mask_shape(mask)
+    if shape is None:
         return by_mask
     text = col.cast("string")
-    by_cast = F.when(text.rlike(ISO_DAY_TEXT), text.try_cast("date")).cast("timestamp")
-    return F.when(F.typeof(col) == "string", by_cast).otherwise(by_mask)
+    from_text = F.when(text.rlike(shape), by_mask)
+    if mask == ISO_DAY:
+        by_cast = text.try_cast("date").cast("timestamp")
+        from_text = F.when(text.rlike(ISO_DAY_TEXT), by_cast).when(text.rlike(shape), by_mask)
+    return F.when(F.typeof(col) == "string", from_text).otherwise(by_mask)
 
 
 def pattern_found(col: Column, pattern: str, *, full_match: bool = False) -> Column:
