@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
+from rowsieve.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,9 +41,9 @@ def final_plan(df) -> str:
     return plan.split("Initial Plan")[0]
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan(spark, name):
-    plan = final_plan(entry_points.queries()[name](spark, SF_DIR))
+    plan = final_plan(QUERIES[name](spark, SF_DIR))
     assert not [node for node in FORBIDDEN if node in plan]
     scans: dict[str, int] = {}
     for path in re.findall(r"FileScan parquet.*?Location: InMemoryFileIndex\(1 paths\)\[(.*?)\]", plan):
@@ -53,11 +53,11 @@ def test_plan(spark, name):
 
 
 def test_a_projection_reads_only_its_columns(spark):
-    plan = final_plan(entry_points.queries()["indicator_ratio"](spark, SF_DIR))
+    plan = final_plan(QUERIES["indicator_ratio"](spark, SF_DIR))
     (schema,) = re.findall(r"ReadSchema: struct<(.*?)>", plan)
     assert schema == "l_quantity:double,l_discount:double,l_tax:double"
 
 
 def test_preview_takes_the_first_rows_without_a_full_sort(spark):
-    plan = final_plan(entry_points.queries()["preview_top_n"](spark, SF_DIR))
+    plan = final_plan(QUERIES["preview_top_n"](spark, SF_DIR))
     assert "TakeOrderedAndProject" in plan and "Sort " not in plan.replace("TakeOrdered", "")
