@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import decontamination, packing, quality_model, quality_rules, secrets, sharding, toxicity
+from rowsieve.llm import (
+    decontamination,
+    jaccard_join,
+    packing,
+    quality_model,
+    quality_rules,
+    secrets,
+    sharding,
+    toxicity,
+)
 from rowsieve.llm._shared import documents, labels, remainder_of_id
 
 
@@ -60,6 +69,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(documents(spark, sf_dir))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     known = labels(spark, sf_dir).where(remainder_of_id(4) != 2)
@@ -92,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quality_rules,
         op5_packing,
         op6_benchmark_decontamination,
+        op7_ngram_jaccard_join,
         op9_quality_classifier,
         op10_sharding,
     )
@@ -133,4 +147,27 @@ ORACLES: dict[str, str] = {
                coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(t.w) AS contaminated
         FROM texts t LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items x USING (doc_id)
     """,
+    "op7_ngram_jaccard_join": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS MATERIALIZED (
+            SELECT DISTINCT doc_id, w[i:i + 2] AS s
+            FROM texts, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS MATERIALIZED (
+            SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)),
+        reach(a, b) AS (
+            SELECT doc_id, doc_id FROM texts
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, min(reach.b) AS component_id
+        FROM texts t LEFT JOIN sizes s USING (doc_id) JOIN reach ON reach.a = t.doc_id
+        GROUP BY t.doc_id, s.n
+    """,
 }
