@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from rowsieve.llm import (
     decontamination,
     jaccard_join,
+    ngram_score,
     packing,
     quality_model,
     quality_rules,
     secrets,
     sharding,
+    suffix_dedup,
     toxicity,
 )
 from rowsieve.llm._shared import documents, labels, remainder_of_id
@@ -26,6 +28,10 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *[c for c in found.columns if c not in ("row", "redacted")])
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_score.score_texts(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     known = labels(spark, sf_dir).where(remainder_of_id(5) != 0)
@@ -73,6 +79,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(documents(spark, sf_dir))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     known = labels(spark, sf_dir).where(remainder_of_id(4) != 2)
@@ -101,11 +111,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scans,
+        op2_lm_scoring,
         op3_toxicity,
         op4_quality_rules,
         op5_packing,
         op6_benchmark_decontamination,
         op7_ngram_jaccard_join,
+        op8_suffix_array_dedup,
         op9_quality_classifier,
         op10_sharding,
     )
