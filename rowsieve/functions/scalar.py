@@ -70,8 +70,8 @@ def share_of(predicate: Column) -> Column:
 def int_value(col: Column, *, big: bool = False, fractions: str = "reject") -> Column:
     """Integer value of a column, null where it has none.
 
-    ``fractions="truncate"`` takes decimal text such as ``12.7`` as 12;
-    ``"reject"`` gives null for it.
+    ``fractions="truncate"`` takes 12.7 as 12, in text as in a number; ``"reject"``
+    gives null for it. Columns that hold neither text nor numbers have no integer value.
 
     A cast that fails costs as much as a hundred that succeed, also under ``try_cast``.
     So text is cast only where its shape says that the cast can succeed, and a column
@@ -90,7 +90,13 @@ def int_value(col: Column, *, big: bool = False, fractions: str = "reject") -> C
     if not big:
         longest = F.when(longest.between(-(2**31), 2**31 - 1), longest).cast("int")
     from_text = F.when(is_short, text.try_cast(target)).when(has_shape, longest)
-    return F.when(F.typeof(col) == "string", from_text).otherwise(col.try_cast(target))
+    kind, typed = F.typeof(col), col.try_cast(target)
+    if fractions == "reject":
+        exact = typed.cast("decimal(38,10)") == col.try_cast("decimal(38,10)")
+        typed = F.when(kind.isin("tinyint", "smallint", "int", "bigint") | exact, typed)
+    numbers = kind.isin("tinyint", "smallint", "int", "bigint", "float", "double")
+    typed = F.when(numbers | kind.startswith("decimal"), typed)
+    return F.when(kind == "string", from_text).otherwise(typed)
 
 
 def number_value(col: Column, data_type: T.DataType) -> Column:
@@ -145,14 +151,18 @@ def pattern_found(col: Column, pattern: str, *, full_match: bool = False) -> Col
 def non_negative(col: Column, data_type: T.DataType) -> Column:
     """True where the value is null, not a number, or at least zero.
 
-    Numbers compare as they are. Text goes through decimal(20,10), and what does not
-    fit that type counts as zero; only text with a minus needs to be read for it.
+    Numbers compare as they are. Text is judged by what it says, however large or small:
+    a number is negative if it has a minus and a digit other than zero before its exponent.
     """
     if isinstance(data_type, T.NumericType):
         return col.isNull() | (col >= 0)
     text = col.cast("string")
-    with_minus = F.contains(text, F.lit("-")) & text.rlike(PADDED_NUMBER_TEXT)
-    return F.coalesce(F.when(with_minus, text.try_cast("decimal(20,10)")), F.lit(0)) >= 0
+    negative = (
+        F.contains(text, F.lit("-"))
+        & text.rlike(PADDED_NUMBER_TEXT)
+        & text.rlike(rf"^{BLANKS}-[0.]*[1-9]")
+    )
+    return ~F.coalesce(negative, F.lit(False))
 
 
 def type_class(col: Column) -> Column:

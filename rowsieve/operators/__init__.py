@@ -25,6 +25,7 @@ from rowsieve.operators.metrics import (
     Uniqueness,
     compute_metrics,
 )
+from rowsieve.operators.preview import preview
 from rowsieve.operators.profile import (
     histograms,
     low_cardinality_columns,
@@ -63,6 +64,7 @@ __all__ = [
     "histograms",
     "low_cardinality_columns",
     "overall_status",
+    "preview",
     "profile_columns",
     "profile_table",
     "unmatched",

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.functions import cases, column, non_negative, number_value, share_of
+from rowsieve.functions import cases, column, int_value, non_negative, number_value, share_of
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,11 @@ class Compliance:
 
 @dataclass(frozen=True)
 class Containment:
-    """Share of rows whose value is null or in a given set."""
+    """Share of rows whose value is null or in a given set.
+
+    Between text and another type, the text is read as the other; text that cannot be
+    is in no set.
+    """
 
     column: str
     values: tuple
@@ -73,8 +77,17 @@ class Containment:
         return f"{self.column} contained in {','.join(map(str, self.values))}"
 
     def aggregate(self, schema: T.StructType) -> Column:
-        col = column(self.column)
-        return share_of(col.isNull() | col.isin(*self.values))
+        col, kind, values = column(self.column), schema[self.column].dataType, list(self.values)
+        if isinstance(kind, T.StringType):
+            if values and not any(isinstance(v, str) for v in values):
+                whole = all(isinstance(v, int) and not isinstance(v, bool) for v in values)
+                typed = int_value(col, big=True) if whole else number_value(col, kind)
+                return share_of(col.isNull() | typed.isin(*values))
+            values = [str(v) for v in values]
+        elif any(isinstance(v, str) for v in values):
+            # Text that is no value of the column's type is null, which nothing equals.
+            values = [F.lit(v).try_cast(kind) if isinstance(v, str) else F.lit(v) for v in values]
+        return share_of(col.isNull() | col.isin(*values))
 
 
 @dataclass(frozen=True)

@@ -13,6 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,7 +100,9 @@ def _settle(table: DataFrame, searches: list[_Search]) -> None:
     """Find the rank in each last counted bracket by running counts, all in one scan."""
     for search in searches:
         search.low, search.high = search.wider
-    picked = table.select(
+    # Rows outside all brackets go before the rest is laid out once per search.
+    inside = reduce(lambda a, b: a | b, [s.between() for s in searches])
+    picked = table.where(inside).select(
         *[
             F.when(s.between(), column(s.column)).cast("double").alias(str(i))
             for i, s in enumerate(searches)
@@ -126,7 +129,8 @@ def exact_quantiles(
 
     Numeric columns; null on a column without values. Searches share their scans,
     which read only the searched columns. At most ``settle_rows`` rows per search are
-    ever ordered in one task.
+    ever ordered in one task; that number decides how often a bracket is narrowed, not
+    what is found.
     """
     searches = [_Search(name, quantile) for name, quantile in targets]
     table = df.select(*[column(name) for name in dict.fromkeys(name for name, _ in targets)])

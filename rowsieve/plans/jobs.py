@@ -1,4 +1,8 @@
-"""The jobs a user runs. Every expensive scan happens once and is then read from disk.
+"""The jobs a user runs: a gate, a verification, a profile.
+
+The gate computes its source once and reads it back from a staging table. A verification
+scans its source once for scan metrics and once for uniqueness, if asked for; a profile
+once for the columns and once for histograms. Stage a source first if that costs a join.
 
 Staging tables are written to shared storage, so a lost executor costs the tasks it
 was running and nothing else: no job here depends on cached blocks.
@@ -23,7 +27,6 @@ from rowsieve.sources.history import (
     ResultKey,
     append_metrics,
     append_run_metrics,
-    read_history,
     run_metrics,
 )
 from rowsieve.sources.scratch import discard, fresh_path
@@ -39,7 +42,11 @@ _COUNTS_TYPES = {"num_valid_rows": "bigint", "num_invalid_rows": "bigint"}
 
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for the length of one write."""
+    """A session setting for the length of one write.
+
+    Jobs that run in the same session at that time see it too; one that minds takes a
+    session of its own (``newSession``).
+    """
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
@@ -93,17 +100,18 @@ def run_gate(
         flagged = flagged.drop(FAILED)
     staging = fresh_path(spark, f"{name}-staging")
     # One open file per outcome and task; otherwise each task sorts its rows by outcome first.
-    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
-        flagged.write.partitionBy(IS_VALID).parquet(staging)
-
-    staged = spark.read.schema(flagged.schema).parquet(staging)
-    valid = schema.typed(staged.where(F.col(IS_VALID)))
-    invalid = schema.untyped(staged.where(~F.col(IS_VALID)), reasons=reasons)
-    valid_orc = write_valid_orc(valid, out_dir, name)
-    # The ORC rows are typed already, so the CSV need not parse every value again.
-    valid_csv = write_valid_csv(spark.read.schema(valid.schema).orc(valid_orc), out_dir, name)
-    invalid_csv = write_invalid_csv(invalid, out_dir, name)
-    discard(spark, staging)
+    try:
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+            flagged.write.partitionBy(IS_VALID).parquet(staging)
+        staged = spark.read.schema(flagged.schema).parquet(staging)
+        valid = schema.typed(staged.where(F.col(IS_VALID)))
+        invalid = schema.untyped(staged.where(~F.col(IS_VALID)), reasons=reasons)
+        valid_orc = write_valid_orc(valid, out_dir, name)
+        # The ORC rows are typed already, so the CSV need not parse every value again.
+        valid_csv = write_valid_csv(spark.read.schema(valid.schema).orc(valid_orc), out_dir, name)
+        invalid_csv = write_invalid_csv(invalid, out_dir, name)
+    finally:
+        discard(spark, staging)
 
     num_valid, num_invalid = counted.get["valid"], counted.get["invalid"]
     counts = literal_rows(spark, [(num_valid, num_invalid)], _COUNTS_TYPES)
@@ -117,24 +125,18 @@ def run_gate(
 def run_verification(
     df: DataFrame, checks: Sequence[Check], history_path: str, key: ResultKey
 ) -> Verification:
-    """Compute the checks' metrics once, append them to the history, judge the stored rows."""
-    written = time.time_ns() // 1_000_000
-    append_metrics(
-        compute_metrics(df, required_metrics(checks)), history_path, key, written_at=written
-    )
-    stored = read_history(df.sparkSession, history_path, tags=key.tags).where(
-        (F.col("dataset_date") == key.dataset_date)
-        & (F.map_entries("tags") == F.map_entries(_tags(key)))
-    )
+    """Append the checks' metrics to the history and judge the rows just written.
+
+    Only this run's own folder is read back, whatever else is written under its key and
+    however long the history is.
+    """
+    computed = compute_metrics(df, required_metrics(checks))
+    folder = append_metrics(computed, history_path, key)
+    stored = df.sparkSession.read.schema(computed.schema).parquet(folder)
     metrics = stored.select("entity", "instance", "name", "value")
     return Verification(metrics, evaluate(metrics, checks))
 
 
-def _tags(key: ResultKey):
-    pairs = [F.lit(part) for pair in sorted(key.tags.items()) for part in pair]
-    return F.create_map(*pairs).cast("map<string,string>")
-
-
 @dataclass(frozen=True)
 class ProfileOutcome:
     profile: DataFrame

@@ -30,6 +30,7 @@ from rowsieve.operators import (
     exact_quantiles,
     histograms,
     low_cardinality_columns,
+    preview,
     profile_columns,
     profile_table,
     unmatched,
@@ -37,7 +38,7 @@ from rowsieve.operators import (
 )
 from rowsieve.operators.enrich import MATCHED
 from rowsieve.operators.metrics import frequencies
-from rowsieve.operators.rules import FAILED, IS_VALID
+from rowsieve.operators.rules import FAILED, IS_VALID, RowSchema
 from rowsieve.plans.dirty_orders import (
     RAW_SQL,
     TESTS_SQL,
@@ -47,7 +48,7 @@ from rowsieve.plans.dirty_orders import (
     order_rules,
     orders_raw,
 )
-from rowsieve.plans.jobs import run_gate, run_profile
+from rowsieve.plans.jobs import run_gate, run_profile, run_verification
 from rowsieve.sources import (
     ResultKey,
     append_metrics,
@@ -152,6 +153,22 @@ def row_gate_failure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_rules().failure_counts(orders_raw(spark, sf_dir))
 
 
+@registered(
+    """SELECT l_orderkey, l_linenumber, CAST(part_count AS INTEGER) AS part_count FROM (
+        SELECT *, l_quantity + CASE WHEN l_orderkey % 3 = 0 THEN 0.5 ELSE 0 END AS part_count
+        FROM lineitem) WHERE part_count = floor(part_count)"""
+)
+def row_gate_typed_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An integer rule over a column of doubles, some of which have fractions."""
+    half = F.when(F.col("l_orderkey") % 3 == 0, 0.5).otherwise(0.0)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_quantity") + half).alias("part_count")
+    )
+    rules = RowSchema().int_column("part_count", is_nullable=False)
+    valid = rules.split(lines).valid
+    return valid.select("l_orderkey", "l_linenumber", "part_count")
+
+
 # --- lookup enrichment ------------------------------------------------------------
 
 
@@ -163,6 +180,16 @@ def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(customer, nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
 
 
+@registered(
+    f"""SELECT raw.*, c_name FROM ({RAW_SQL}) raw JOIN customer
+    ON c_custkey = CASE WHEN regexp_full_match(cust_id, '[+-]?\\d+') THEN TRY_CAST(cust_id AS BIGINT) END"""
+)
+def lookup_join_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text keys, faults among them, against the customers' typed key."""
+    customer = table(spark, sf_dir, "customer")
+    return enrich(orders_raw(spark, sf_dir), customer, {"cust_id": "c_custkey"}, ["c_name"])
+
+
 # A status lookup that lacks P, so that enrichment loses rows.
 STATUS_LOOKUP = [("O", "open"), ("F", "finished")]
 _LOOKUP_SQL = "(VALUES ('O', 'open'), ('F', 'finished')) lookup(code, description)"
@@ -307,7 +334,7 @@ def gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     """SELECT count(*) AS num_ids, min(id) AS first_id, max(id) AS last_id,
         CAST(sum(id) AS BIGINT) AS sum_ids, count(o_orderkey) AS num_orders
-    FROM (SELECT unnest(range(1, least((SELECT max(o_orderkey) + 1 FROM orders), 2147483647))) AS id)
+    FROM (SELECT unnest(range(1, (SELECT max(o_orderkey) + 1 FROM orders))) AS id)
     LEFT JOIN orders ON id = o_orderkey"""
 )
 def range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,7 +401,7 @@ def results(*runs: Verification) -> DataFrame:
 @registered(
     results_sql(
         [
-            ("size", "Error", "Size", "*", "value = 5", "SELECT count(*) FROM orders"),
+            ("size", "Error", "Size", "*", "value = 12", "SELECT count(*) FROM orders"),
             ("size", "Warning", "Size", "*", "value > 0", "SELECT count(*) FROM lineitem"),
         ]
     )
@@ -382,7 +409,7 @@ def results(*runs: Verification) -> DataFrame:
 def check_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     return results(
-        verify(orders, [Check("Error", "size").has_size("value = 5")]),
+        verify(orders, [Check("Error", "size").has_size("value = 12")]),
         verify(lineitem, [Check("Warning", "size").has_size("value > 0")]),
     )
 
@@ -457,7 +484,9 @@ def check_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def non_negative_text_sql(col: str) -> str:
-    return f"coalesce(TRY_CAST({col} AS DECIMAL(20, 10)), 0) >= 0"
+    number = r"\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*"
+    return f"""CASE WHEN regexp_full_match({col}, '{number}')
+        THEN TRY_CAST(trim({col}) AS DOUBLE) >= 0 ELSE TRUE END"""
 
 
 @registered(
@@ -489,8 +518,8 @@ def check_non_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("quantiles", "Warning", f"ApproxQuantile-{q}", col, assertion,
              f"SELECT quantile_disc({col}, {q}) FROM lineitem")
             for col, q, assertion in [
-                ("l_quantity", 0.25, "value <= 10"),
-                ("l_linenumber", 0.5, "value <= 10"),
+                ("l_quantity", 0.25, "value <= 11"),
+                ("l_linenumber", 0.5, "value <= 11"),
                 ("l_tax", 0.9, "value < 0.05"),
             ]
         ]
@@ -499,8 +528,8 @@ def check_non_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     check = (
         Check("Warning", "quantiles")
-        .has_approx_quantile("l_quantity", 0.25, "value <= 10")
-        .has_approx_quantile("l_linenumber", 0.5, "value <= 10")
+        .has_approx_quantile("l_quantity", 0.25, "value <= 11")
+        .has_approx_quantile("l_linenumber", 0.5, "value <= 11")
         .has_approx_quantile("l_tax", 0.9, "value < 0.05")
     )
     return results(verify(table(spark, sf_dir, "lineitem"), [check]))
@@ -529,20 +558,20 @@ def quantile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _verifications(spark: SparkSession, sf_dir: str) -> list[Verification]:
     customer = [
-        Check("Error", "integrity checks")
-        .has_size("value = 5")
+        Check("Error", "customer rows")
+        .has_size("value = 12")
         .is_complete("c_custkey")
         .is_unique("c_custkey")
         .is_complete("c_name")
         .is_contained_in("c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE"])
         .is_non_negative("c_acctbal"),
-        Check("Warning", "distribution checks").has_approx_quantile(
-            "c_nationkey", 0.75, "value <= 10"
+        Check("Warning", "customer spread").has_approx_quantile(
+            "c_nationkey", 0.75, "value <= 11"
         ),
     ]
     raw = [
-        Check("Error", "raw integrity checks").has_size("value > 0").is_complete("order_id"),
-        Check("Warning", "raw warnings")
+        Check("Error", "raw order rows").has_size("value > 0").is_complete("order_id"),
+        Check("Warning", "raw order shares")
         .is_complete("cust_id")
         .is_unique("order_id")
         .is_unique("cust_id")
@@ -556,32 +585,32 @@ def _verifications(spark: SparkSession, sf_dir: str) -> list[Verification]:
 
 
 _REPORT_ROWS = [
-    ("integrity checks", "Error", "Size", "*", "value = 5", "SELECT count(*) FROM customer"),
-    ("integrity checks", "Error", "Completeness", "c_custkey", "value = 1",
+    ("customer rows", "Error", "Size", "*", "value = 12", "SELECT count(*) FROM customer"),
+    ("customer rows", "Error", "Completeness", "c_custkey", "value = 1",
      complete_sql("customer", "c_custkey")),
-    ("integrity checks", "Error", "Uniqueness", "c_custkey", "value = 1",
+    ("customer rows", "Error", "Uniqueness", "c_custkey", "value = 1",
      unique_sql("customer", "c_custkey")),
-    ("integrity checks", "Error", "Completeness", "c_name", "value = 1",
+    ("customer rows", "Error", "Completeness", "c_name", "value = 1",
      complete_sql("customer", "c_name")),
-    ("integrity checks", "Error", "Compliance",
+    ("customer rows", "Error", "Compliance",
      "c_mktsegment contained in AUTOMOBILE,BUILDING,FURNITURE", "value = 1",
      contained_sql("customer", "c_mktsegment", "AUTOMOBILE", "BUILDING", "FURNITURE")),
-    ("integrity checks", "Error", "Compliance", "c_acctbal is non-negative", "value = 1",
+    ("customer rows", "Error", "Compliance", "c_acctbal is non-negative", "value = 1",
      share_sql("customer", "c_acctbal IS NULL OR c_acctbal >= 0")),
-    ("distribution checks", "Warning", "ApproxQuantile-0.75", "c_nationkey", "value <= 10",
+    ("customer spread", "Warning", "ApproxQuantile-0.75", "c_nationkey", "value <= 11",
      "SELECT quantile_disc(c_nationkey, 0.75) FROM customer"),
-    ("raw integrity checks", "Error", "Size", "*", "value > 0", f"SELECT count(*) FROM {_RAW}"),
-    ("raw integrity checks", "Error", "Completeness", "order_id", "value = 1",
+    ("raw order rows", "Error", "Size", "*", "value > 0", f"SELECT count(*) FROM {_RAW}"),
+    ("raw order rows", "Error", "Completeness", "order_id", "value = 1",
      complete_sql(_RAW, "order_id")),
-    ("raw warnings", "Warning", "Completeness", "cust_id", "value = 1",
+    ("raw order shares", "Warning", "Completeness", "cust_id", "value = 1",
      complete_sql(_RAW, "cust_id")),
-    ("raw warnings", "Warning", "Uniqueness", "order_id", "value = 1",
+    ("raw order shares", "Warning", "Uniqueness", "order_id", "value = 1",
      unique_sql(_RAW, "order_id")),
-    ("raw warnings", "Warning", "Uniqueness", "cust_id", "value = 1",
+    ("raw order shares", "Warning", "Uniqueness", "cust_id", "value = 1",
      unique_sql(_RAW, "cust_id")),
-    ("raw warnings", "Warning", "Compliance", "status contained in O,F,P", "value >= 0.9",
+    ("raw order shares", "Warning", "Compliance", "status contained in O,F,P", "value >= 0.9",
      contained_sql(_RAW, "status", "O", "F", "P")),
-    ("raw warnings", "Warning", "Compliance", "order_date in 2015", "value < 0.01",
+    ("raw order shares", "Warning", "Compliance", "order_date in 2015", "value < 0.01",
      share_sql(_RAW, "order_date LIKE '2015-%'")),
 ]
 
@@ -726,6 +755,32 @@ def run_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered(
+    """SELECT run, status, name, value FROM (VALUES
+        ('first', 'Error', 'Size', (SELECT CAST(count(*) AS DOUBLE) FROM customer)),
+        ('again', 'Success', 'Size', (SELECT CAST(count(*) AS DOUBLE) FROM orders)),
+        ('stored', 'Success', 'Size', (SELECT CAST(count(*) AS DOUBLE) FROM orders))
+    ) AS t(run, status, name, value)"""
+)
+def run_verification_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored verifications under one key, and what the history gives for it afterwards."""
+    path, key = fresh_path(spark, "verifications"), ResultKey(1_700_000_000_000, {"tag": "nightly"})
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    least = orders.count()
+    check = [Check("Error", "order rows").has_size(f"value >= {least}")]
+    named = {"first": customer, "again": orders}
+    runs = {name: run_verification(source, check, path, key) for name, source in named.items()}
+    day = "2023-11-14"
+    stored = read_history(spark, path, tags=key.tags, first_day=day, last_day=day)
+    values = [run.metrics.select(F.lit(name).alias("run"), "name", "value") for name, run in runs.items()]
+    values.append(stored.select(F.lit("again").alias("run"), "name", "value").withColumn("stored", F.lit(True)))
+    statuses = [run.status().select(F.lit(name).alias("run"), "status") for name, run in runs.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), values)
+    judged = rows.join(reduce(DataFrame.unionByName, statuses), "run")
+    run = F.when(F.col("stored"), "stored").otherwise(F.col("run"))
+    return judged.select(run.alias("run"), "status", "name", "value")
+
+
 # --- profiles ---------------------------------------------------------------------
 
 # The declared profile types of the customer columns.
@@ -964,4 +1019,4 @@ def indicator_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")
 def preview_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(10)
+    return preview(table(spark, sf_dir, "orders"), 10, ["o_orderkey"])

@@ -7,6 +7,7 @@ prunes to the days asked for; the tag test is a residual filter on what is left.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -43,23 +44,27 @@ def with_key(metrics: DataFrame, key: ResultKey) -> DataFrame:
     )
 
 
-def _append(rows: DataFrame, path: str, millis: int) -> None:
-    folder = f"{path.rstrip('/')}/ds={day_of_millis(millis)}/run={uuid.uuid4().hex}"
+def _append(rows: DataFrame, path: str, millis: int) -> str:
+    """Write rows to a folder of their own, named so that later runs sort behind."""
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    folder = f"{path.rstrip('/')}/ds={day_of_millis(millis)}/run={run}"
     rows.coalesce(1).write.mode("errorifexists").parquet(folder)
+    return folder
 
 
 def append_metrics(
     metrics: DataFrame, path: str, key: ResultKey, *, written_at: int | None = None
-) -> None:
+) -> str:
     """Append metric rows ``entity, instance, name, value`` under a result key.
 
-    ``written_at`` (epoch milliseconds, the key's instant by default) orders writes
-    under one key: the latest value of a metric is the one read back, so repeating
-    a run replaces its metrics.
+    ``written_at`` (epoch milliseconds, now by default) orders writes under one key:
+    the latest value of a metric is the one read back, so repeating a run replaces its
+    metrics. Writes of one instant are ordered by their run ids, which sort by the clock
+    of the writer to the nanosecond. Returns the folder written.
     """
     keyed = with_key(metrics.select("entity", "instance", "name", "value"), key)
-    written = key.dataset_date if written_at is None else written_at
-    _append(keyed.withColumn("written_at", F.lit(written).cast("bigint")), path, key.dataset_date)
+    written = time.time_ns() // 1_000_000 if written_at is None else written_at
+    return _append(keyed.withColumn("written_at", F.lit(written).cast("bigint")), path, key.dataset_date)
 
 
 def read_history(
@@ -79,7 +84,7 @@ def read_history(
     for tag, wanted in (tags or {}).items():
         rows = rows.where(F.col("tags")[tag] == wanted)
     return rows.groupBy("ds", "dataset_date", "tags", "entity", "instance", "name").agg(
-        F.max_by("value", "written_at").alias("value")
+        F.max_by("value", F.struct("written_at", "run")).alias("value")
     )
 
 

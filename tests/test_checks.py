@@ -15,7 +15,7 @@ def reviews(spark):
 
 def integrity(level="Error"):
     return (
-        Check(level, "integrity checks")
+        Check(level, "rows of the table")
         .has_size("value = 5")
         .is_complete("id")
         .is_unique("id")
@@ -26,7 +26,7 @@ def integrity(level="Error"):
 
 
 def distribution(limit=10):
-    return Check("Warning", "distribution checks").has_approx_quantile(
+    return Check("Warning", "spread of the table").has_approx_quantile(
         "votes", 0.5, lambda v: v <= limit
     )
 

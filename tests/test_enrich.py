@@ -103,3 +103,13 @@ def test_hot_key_is_split_when_the_lookup_is_too_big_to_broadcast(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_text_keys_meet_typed_ones(spark):
+    fact = spark.createDataFrame([("1",), ("x",), (None,), ("99999999999999999999",)], "k string")
+    lookup = spark.createDataFrame([(1, "one")], "code int, name string")
+    assert [tuple(r) for r in enrich(fact, lookup, {"k": "code"}, ["name"]).collect()] == [("1", "one")]
+    assert unmatched(fact, lookup, {"k": "code"}).count() == 3
+    typed = spark.createDataFrame([(1,), (2,)], "k int")
+    words = spark.createDataFrame([("1", "one"), ("y", "why")], "code string, name string")
+    assert enrich(typed, words, {"k": "code"}, ["name"]).count() == 1

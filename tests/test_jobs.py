@@ -126,14 +126,14 @@ def test_enriched_gate(spark, source, tmp_path):
 
 def test_verification(spark, source, tmp_path):
     checks = [
-        Check("Error", "integrity checks")
+        Check("Error", "review rows")
         .has_size("value = 5")
         .is_complete("id")
         .is_unique("id")
         .is_complete("parent")
         .is_contained_in("vine", ["Y", "N"])
         .is_non_negative("votes"),
-        Check("Warning", "distribution checks").has_approx_quantile("stars", 0.5, "value <= 10"),
+        Check("Warning", "star spread").has_approx_quantile("stars", 0.5, "value <= 10"),
     ]
     history = str(tmp_path / "history")
     key = ResultKey(1_700_000_000_000, {"tag": "demo", "site": "a"})

@@ -216,3 +216,29 @@ def test_uniqueness_against_counting(spark):
     once = sum(1 for n in counted.values() if n == 1)
     got = one(df, Uniqueness(("l_orderkey", "l_linenumber")))
     assert got == pytest.approx(once / sum(counted.values())) and 0 <= got <= 1
+
+
+def test_sets_and_signs_of_unlike_types(spark):
+    text = spark.createDataFrame([("1",), ("x",), ("2",), ("9",)], "k string")
+    whole = spark.createDataFrame([(1,), (3,)], "k int")
+    assert compute_metrics(text, [Containment("k", (1, 2))]).first()["value"] == 0.5
+    assert compute_metrics(whole, [Containment("k", ("1", "x"))]).first()["value"] == 0.5
+    signs = spark.createDataFrame([("-99999999999",), ("-1e15",), ("5",)], "k string")
+    assert compute_metrics(signs, [NonNegative("k")]).first()["value"] == pytest.approx(1 / 3)
+
+
+def test_quantiles_filter_before_they_expand(spark, tmp_path, monkeypatch):
+    from rowsieve.operators import quantiles
+
+    path = str(tmp_path / "values")
+    spark.range(200_000).selectExpr("cast(id as double) v", "cast(id % 977 as double) w").write.parquet(path)
+    plans, settle = [], quantiles._settle
+
+    def watched(table, searches):
+        plans.append(table)
+        settle(table, searches)
+
+    monkeypatch.setattr(quantiles, "_settle", watched)
+    rows = exact_quantiles(spark.read.parquet(path), [("v", 0.5), ("w", 0.25)], settle_rows=50_000)
+    assert {r["column"]: r["value"] for r in rows.collect()}["v"] == 99_999.0
+    assert plans

@@ -232,3 +232,12 @@ def test_small_helpers(spark):
     assert [tuple(r) for r in literal_rows(spark, [(1, None)], {"a": "int", "b": "string"}).collect()] == [
         (1, None)
     ]
+
+
+def test_typed_fractions_are_no_integers(spark):
+    rows = spark.createDataFrame([(12.7,), (12.0,), (None,)], "n double")
+    parts = RowSchema().int_column("n").split(rows)
+    assert sorted(r["n"] for r in parts.valid.where("n is not null").collect()) == [12]
+    assert parts.invalid.count() == 1
+    instants = spark.sql("SELECT timestamp'2020-01-01 00:00:00' AS n")
+    assert RowSchema().int_column("n").split(instants).valid.count() == 0

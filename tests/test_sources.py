@@ -75,10 +75,10 @@ def test_file_name_with_a_comma(spark, tsv):
 
 
 def test_range_is_held_to_int_max(spark):
-    ids = integer_range(spark, 11, 3)
+    ids = integer_range(spark, 11, 3, clamp=True)
     assert [row["id"] for row in ids.collect()] == list(range(1, 11))
     assert ids.rdd.getNumPartitions() == 3
-    near = integer_range(spark, 2**40, 2, start=2**31 - 4)
+    near = integer_range(spark, 2**40, 2, start=2**31 - 4, clamp=True)
     assert [row["id"] for row in near.collect()] == [2**31 - 4, 2**31 - 3, 2**31 - 2]
 
 
@@ -190,3 +190,44 @@ def test_metrics_go_straight_into_the_history(spark, tmp_path):
     path = str(tmp_path / "history")
     append_metrics(compute_metrics(spark.range(4), [Size()]), path, ResultKey(0))
     assert read_history(spark, path).first()["value"] == 4.0
+
+
+def test_repeated_appends_read_back_the_last(spark, tmp_path):
+    path, key = str(tmp_path / "history"), ResultKey(5, {"tag": "a"})
+    for rows in (5, 7, 6):
+        append_metrics(compute_metrics(spark.range(rows), [Size()]), path, key)
+        assert read_history(spark, path).first()["value"] == float(rows)
+    for rows in (3, 4):
+        append_metrics(compute_metrics(spark.range(rows), [Size()]), path, key, written_at=2**60)
+        assert read_history(spark, path).first()["value"] == float(rows)
+
+
+def test_history_prunes_days(spark, tmp_path):
+    path = str(tmp_path / "history")
+    append_metrics(compute_metrics(spark.range(2), [Size()]), path, ResultKey(0))
+    append_metrics(compute_metrics(spark.range(3), [Size()]), path, ResultKey(86_400_000))
+    recent = read_history(spark, path, first_day="1970-01-02")
+    assert recent.first()["value"] == 3.0 and recent.count() == 1
+    assert "PartitionFilters: []" not in recent._jdf.queryExecution().executedPlan().toString()
+
+
+def test_range_is_whole_unless_clamped(spark):
+    big = integer_range(spark, 2**31 + 5, 4, start=2**31 - 3)
+    assert big.count() == 8
+    assert integer_range(spark, 2**31 + 5, 4, start=2**31 - 3, clamp=True).count() == 2
+
+
+def test_headers_must_agree(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "1.tsv").write_text("a\tb\n1\t2\n")
+    (folder / "2.tsv").write_text("b\ta\n3\t4\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        read_delimited(spark, str(folder)).collect()
+
+
+def test_malformed_records_keep_their_text(spark, tmp_path):
+    path = tmp_path / "rows.tsv"
+    path.write_text("a\tb\n1\t2\n3\t4\t5\n")
+    rows = read_delimited(spark, str(path), malformed="_raw").collect()
+    assert [tuple(row) for row in rows] == [("1", "2", None), ("3", "4", "3\t4\t5")]
