@@ -11,7 +11,7 @@ two. How many segments of each kind a band gets is settled by a cost model. Sets
 band's upper end are met by larger ones, which index themselves in that band as visitors.
 
 Documents with a common subset are candidates. All pairs of a bucket are never listed.
-Each member is first verified against the bucket's hub, the set with the most copies;
+Each member is first verified against the bucket's hub, its best connected set;
 verified links give components. Then only pairs of one bucket that lie in different
 components are left, and of those the ones that can still link: what each member lacks of
 the hub and has besides bounds how far two members differ (see ``_left_to_verify``). What
@@ -225,37 +225,34 @@ def link_documents(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> D
         F.col("rep").isNull() | (F.col("rep") == F.col("doc_id"))
     )
 
-    # One row per signature. ``rank`` orders a bucket: no visitors first, then most copies.
+    # One row per signature; the lowest bit of ``meta`` marks a visitor.
     def rows(column: str, visitor: int) -> DataFrame:
-        few = F.lit((1 << 30) - 1) - F.least(F.coalesce("copies", F.lit(1)), F.lit((1 << 30) - 1))
-        rank = F.lit(visitor << 30).cast("bigint") + few
-        return reps.select(
-            F.explode(column).alias("sig"),
-            F.col("doc_id").alias("id"),
-            (F.shiftleft(rank, 31) + F.col("n_shingles")).alias("meta"),
-        )
+        meta = F.shiftleft(F.col("n_shingles"), 1) + F.lit(visitor)
+        return reps.select(F.explode(column).alias("sig"), F.col("doc_id").alias("id"), meta.alias("meta"))
 
     members = rows("own", 0).unionByName(rows("visits", 1))
-    buckets = (
-        members.groupBy("sig")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("meta", "id")).alias("hub"))
-        .where(F.col("n") > 1)
+    buckets = members.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    met = members.join(buckets, "sig").select(
+        "sig",
+        "id",
+        "n",
+        F.shiftright("meta", 1).alias("size"),
+        (F.col("meta") % 2 == 1).alias("visits"),
     )
-    size_of = lambda meta: meta.bitwiseAND(F.lit((1 << 31) - 1))
-    visits = lambda meta: F.shiftright(meta, 61) == 1
-    met = staged(
-        members.join(buckets, "sig").select(
-            "sig",
-            "id",
-            "n",
-            size_of(F.col("meta")).alias("size"),
-            visits(F.col("meta")).alias("visits"),
-            F.col("hub.id").alias("hub"),
-            size_of(F.col("hub.meta")).alias("hub_size"),
-            visits(F.col("hub.meta")).alias("hub_visits"),
-        ),
-        "met",
+    met = staged(met, "met")
+
+    # The hub of a bucket is the member that is in most buckets, no visitor if there is
+    # another: copies with few edits share most subsets, so a family agrees on its hub.
+    degree = met.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = met.join(staged(degree, "degrees"), "id")
+    first = F.min(F.struct("visits", (-F.col("degree")).alias("rank"), "id", "size")).alias("hub")
+    hubs = ranked.groupBy("sig").agg(first).select(
+        "sig",
+        F.col("hub.id").alias("hub"),
+        F.col("hub.size").alias("hub_size"),
+        F.col("hub.visits").alias("hub_visits"),
     )
+    met = staged(met.join(hubs, "sig"), "met-hubs")
     to_hub = (
         met.where((F.col("id") != F.col("hub")) & ~(F.col("visits") & F.col("hub_visits")))
         .where(_may_link(F.col("size"), F.col("hub_size"), least))
@@ -288,6 +285,20 @@ def link_documents(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> D
     return joined.select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
 
 
+def _least_common(least: int) -> Column:
+    """How many subsets a set of ``size`` has in common with any set that it links with.
+
+    Its band's segments are enough for the band's largest sets; a smaller set may
+    differ in fewer of them. Visitors, and bands with widened segments, count on one.
+    """
+    most = F.floor(F.col("size") * (100 - least) / least)
+    segments = F.lit(1)
+    for end in reversed(bands(1 << 31)[1:]):
+        count, widened = allocation(end - 1, least) if end < 1 << 20 else (1, 0)
+        segments = F.when(F.col("size") < end, F.lit(1 if widened else count)).otherwise(segments)
+    return F.when(F.col("visits"), F.lit(1)).otherwise(F.greatest(segments - most, F.lit(1)))
+
+
 def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
     """Pairs of one bucket in different components that the bounds do not rule out.
 
@@ -303,7 +314,14 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
     named = crowded.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = named.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
     open_buckets = split.where("c0 <> c1").select("sig")
-    left = staged(named.join(open_buckets, "sig", "left_semi").where("id <> hub"), "left")
+    in_open = staged(named.join(open_buckets, "sig", "left_semi"), "open")
+    enough = (
+        in_open.groupBy("id", "visits", "size")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= _least_common(least))
+        .select("id", "visits")
+    )
+    left = staged(in_open.where("id <> hub").join(enough, ["id", "visits"], "left_semi"), "left")
 
     around = left.select("id", "hub", "size", "component").distinct()
     own = sets.select("id", F.col("shingles").alias("_own"))
