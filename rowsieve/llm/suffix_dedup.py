@@ -28,6 +28,7 @@ empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ GRAM = 12
 REACH = 50
 #: Bits of the broadcast bitmap, whatever the input: 32 MB.
 BITMAP_BITS = 28
-FLUSH_KEYS = 4_000_000
+FLUSH_KEYS = 2_000_000
 #: Ids are broadcast up to so many rows, and joined by shuffle beyond.
 MOST_BROADCAST = 1_000_000
 NO_ID = -(2**63)
@@ -97,7 +98,7 @@ def _bytes(text: str) -> bytes:
 
 
 def _stretches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    keys: list[int] = []
+    keys = array("Q")
     for batch in batches:
         for text in batch.column("text").to_pylist():
             for _, _, _, before, after in _phrases(_bytes(text)):
@@ -106,10 +107,10 @@ def _stretches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Reco
                 if after is not None:
                     keys.append(after)
             if len(keys) >= FLUSH_KEYS:
-                yield _segments.blobs(*_segments.summed(np.array(keys, _U)), bits)
-                keys.clear()
+                yield _segments.blobs(*_segments.summed(np.array(keys)), bits)
+                keys = array("Q")
     if keys:
-        yield _segments.blobs(*_segments.summed(np.array(keys, _U)), bits)
+        yield _segments.blobs(*_segments.summed(np.array(keys)), bits)
 
 
 def _marks(segment: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
@@ -169,12 +170,10 @@ def _suffixes(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Recor
     They leave in runs sorted by hash, one row per segment of the hash's range.
     """
     digest = xxhash.xxh3_64_intdigest
-    hashes: list[int] = []
-    owners: list[tuple[int, int]] = []
-    starts: list[int] = []
+    hashes, owners, starts = array("Q"), [], array("i")
 
     def out() -> pa.RecordBatch:
-        found = np.array(hashes, _U)
+        found = np.array(hashes)
         order = np.argsort(found, kind="stable")
         found = found[order]
         ids = np.repeat(np.array([o[0] for o in owners], np.int64), [o[1] for o in owners])[order]
@@ -198,9 +197,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Recor
             owners.append((key, len(starts) - before))
             if len(hashes) >= FLUSH_KEYS // 4:
                 yield out()
-                hashes.clear()
-                owners.clear()
-                starts.clear()
+                hashes, owners, starts = array("Q"), [], array("i")
     if hashes:
         yield out()
 
