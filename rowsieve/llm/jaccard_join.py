@@ -253,11 +253,16 @@ def link_documents(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> D
         F.col("hub.visits").alias("hub_visits"),
     )
     met = staged(met.join(hubs, "sig"), "met-hubs")
+    # Linked sets have more than a few subsets in common. A pair that falls short here has
+    # the others, if any, in buckets of other hubs, where the search below considers it.
+    smaller = F.least("size", "hub_size")
     to_hub = (
         met.where((F.col("id") != F.col("hub")) & ~(F.col("visits") & F.col("hub_visits")))
         .where(_may_link(F.col("size"), F.col("hub_size"), least))
-        .select(F.col("id").alias("a"), F.col("hub").alias("b"))
-        .distinct()
+        .groupBy(F.col("id").alias("a"), F.col("hub").alias("b"), smaller.alias("size"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= _least_common(F.col("size"), least))
+        .select("a", "b")
     )
     to_hub = staged(to_hub, "to-hub")
     candidates = staged(met.select(F.col("id").alias("doc_id")).distinct(), "candidates")
@@ -285,18 +290,19 @@ def link_documents(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> D
     return joined.select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
 
 
-def _least_common(least: int) -> Column:
-    """How many subsets a set of ``size`` has in common with any set that it links with.
+def _least_common(size: Column, least: int) -> Column:
+    """How many subsets a set of this size has in common with any larger one it links with,
+    or with any at all in its own band.
 
     Its band's segments are enough for the band's largest sets; a smaller set may
-    differ in fewer of them. Visitors, and bands with widened segments, count on one.
+    differ in fewer of them. Bands with widened segments count on one.
     """
-    most = F.floor(F.col("size") * (100 - least) / least)
+    most = F.floor(size * (100 - least) / least)
     segments = F.lit(1)
     for end in reversed(bands(1 << 31)[1:]):
         count, widened = allocation(end - 1, least) if end < 1 << 20 else (1, 0)
-        segments = F.when(F.col("size") < end, F.lit(1 if widened else count)).otherwise(segments)
-    return F.when(F.col("visits"), F.lit(1)).otherwise(F.greatest(segments - most, F.lit(1)))
+        segments = F.when(size < end, F.lit(1 if widened else count)).otherwise(segments)
+    return F.greatest(segments - most, F.lit(1))
 
 
 def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
@@ -318,7 +324,7 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
     enough = (
         in_open.groupBy("id", "visits", "size")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= _least_common(least))
+        .where(F.col("visits") | (F.col("n") >= _least_common(F.col("size"), least)))
         .select("id", "visits")
     )
     left = staged(in_open.where("id <> hub").join(enough, ["id", "visits"], "left_semi"), "left")
