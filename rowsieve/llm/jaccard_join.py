@@ -49,6 +49,9 @@ CANDIDATE_COST, TYPICAL_MISS = 4.0, 2.5
 #: A table of ids is broadcast up to so many rows (some MB), and joined by shuffle beyond.
 MOST_BROADCAST = 1_000_000
 
+#: Rounds in which members that are in too few open buckets leave.
+PRUNINGS = 3
+
 _U = np.uint64
 
 
@@ -318,16 +321,21 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
     """
     crowded = met.where("n > 2").select("sig", "id", "size", "visits", "hub")
     named = crowded.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = named.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    open_buckets = split.where("c0 <> c1").select("sig")
-    in_open = staged(named.join(open_buckets, "sig", "left_semi"), "open")
-    enough = (
-        in_open.groupBy("id", "visits", "size")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("visits") | (F.col("n") >= _least_common(F.col("size"), least)))
-        .select("id", "visits")
-    )
-    left = staged(in_open.where("id <> hub").join(enough, ["id", "visits"], "left_semi"), "left")
+    # A bucket is open while it holds two components; who is in too few open ones to link
+    # leaves, which closes others.
+    left = named
+    for _ in range(PRUNINGS):
+        split = left.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+        in_open = left.join(split.where("c0 <> c1").select("sig"), "sig", "left_semi")
+        in_open = staged(in_open, "open")
+        enough = (
+            in_open.groupBy("id", "visits", "size")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("visits") | (F.col("n") >= _least_common(F.col("size"), least)))
+            .select("id", "visits")
+        )
+        left = staged(in_open.join(enough, ["id", "visits"], "left_semi"), "left")
+    left = left.where("id <> hub")
 
     around = left.select("id", "hub", "size", "component").distinct()
     own = sets.select("id", F.col("shingles").alias("_own"))
@@ -366,17 +374,22 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
         & (F.col("a.extras") + F.col("b.extras") + lacking <= allowed),
     )
 
-    extra = around.select("id", "hub", "size", "component", "lacks", "extras", F.explode("extra").alias("s"))
-    common = extra.groupBy("hub", "s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Rows are kept narrow: a shingle beside a hub is one hash, and so is a member beside it.
+    # Where hashes meet by chance, more pairs are considered, never fewer.
+    extra = around.select(F.xxhash64("id", "hub").alias("r"), "hub", F.explode("extra").alias("s"))
+    extra = extra.select("r", F.xxhash64("hub", "s").alias("s"))
+    common = extra.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     differ = F.floor(F.col("size") * (100 - least) / least)
-    rare_first = Window.partitionBy("id", "hub").orderBy(F.col("n").desc(), "s")
+    rare_first = Window.partitionBy("r").orderBy(F.col("n").desc(), "s")
     # Ranked from the most frequent: shingles that occur once need not be ranked at all.
-    ranked = extra.join(common, ["hub", "s"]).withColumn("rank", F.row_number().over(rare_first))
+    ranked = extra.join(common, "s").withColumn("rank", F.row_number().over(rare_first))
+    ranked = ranked.join(around.drop("extra").withColumn("r", F.xxhash64("id", "hub")), "r")
     needed = F.greatest(F.col("extras") - differ, F.lit(1))
     prefix = staged(ranked.where(F.col("rank") >= needed).drop("n"), "prefixes")
     sharing = pair(
         prefix,
-        (F.col("a.hub") == F.col("b.hub")) & (F.col("a.s") == F.col("b.s"))
+        (F.col("a.s") == F.col("b.s"))
+        & (F.col("a.hub") == F.col("b.hub"))
         & (F.col("a.extras") + F.col("b.extras") + lacking - allowed <= 2 * F.least("a.rank", "b.rank")),
     )
     pairs = close.unionByName(sharing).distinct()

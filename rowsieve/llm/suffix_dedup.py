@@ -333,8 +333,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     importable_by_workers(docs.sparkSession)
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID).cast("bigint"))
     texts = docs.select(key.alias("id"), text_of().alias("text"))
-    runs = staged(repeated_runs(texts), "runs")
-    per_doc = runs.distinct().groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    per_doc = repeated_runs(texts).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     per_doc = staged(per_doc, "runs-by-document")
     cut, whole = _with_texts(texts, per_doc)
     none = F.lit(None).cast(per_doc.schema["runs"].dataType)
