@@ -188,14 +188,23 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else ids
 
 
+def _sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets that are in ``ids(id)``, so that a join shuffles no others."""
+    return sets.join(_small(staged(ids.distinct(), "needed")), "id", "left_semi")
+
+
 def _may_link(a: Column, b: Column, least: int) -> Column:
     return 100 * F.least(a, b) >= least * F.greatest(a, b)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs(a, b)`` with the sizes of both sets and of what they share."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("_b"))
+    left, right = (
+        _sets_of(sets, pairs.select(F.col(side).alias("id"))).select(
+            F.col("id").alias(side), F.col("shingles").alias(f"_{side}")
+        )
+        for side in ("a", "b")
+    )
     return (
         pairs.join(left, "a")
         .join(right, "b")
@@ -338,8 +347,10 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
     left = left.where("id <> hub")
 
     around = left.select("id", "hub", "size", "component").distinct()
-    own = sets.select("id", F.col("shingles").alias("_own"))
-    hubs = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("_hub"))
+    around = staged(around, "members")
+    own = _sets_of(sets, around.select("id")).select("id", F.col("shingles").alias("_own"))
+    hubs = _sets_of(sets, around.select(F.col("hub").alias("id")))
+    hubs = hubs.select(F.col("id").alias("hub"), F.col("shingles").alias("_hub"))
     around = staged(
         around.join(own, "id")
         .join(hubs, "hub")
