@@ -4,7 +4,8 @@ of consecutive words that a benchmark item has too.
 A window is 13 item words; an item of fewer words is one window. From every run of
 7 consecutive hashes of 7 words each, the least is kept as a fingerprint, so any 13
 words that a document shares with an item leave one fingerprint in common, whatever
-stands around them. Document and item fingerprints are joined, and each hit is extended
+stands around them; of equal grams an item keeps all, since a document keeps any one.
+Document and item fingerprints are joined, and each hit is extended
 word by word in both directions; a run of 13 equal words or more is contaminated from
 end to end. Items too short to have a window of 13 words are looked up as they are,
 by one hash per place and length; such lengths occur in no or few items.
@@ -49,20 +50,59 @@ def _grams(words: str, size: int) -> Column:
     )
 
 
-def _winnowed(grams: str, width: int) -> Column:
-    """Places and hashes of the least gram of every ``width`` grams, the first of equals."""
-    runs = F.slice(F.col(grams), 1, F.greatest(F.size(grams) - (width - 1), F.lit(0)))
-    places = F.array_distinct(
-        F.transform(
-            runs,
-            lambda _, i: i
-            + F.array_position(
-                F.slice(grams, i + 1, width), F.array_min(F.slice(grams, i + 1, width))
-            ).cast("int")
-            - 1,
-        )
+def _keys(words: str, size: int, places: int) -> Column:
+    """Grams from each place on, whose low bits hold the place modulo ``places``."""
+    codes = F.slice(F.col(words), 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))
+    return F.transform(
+        codes,
+        lambda code, i: F.xxhash64(code, *[F.get(words, i + k) for k in range(1, size)])
+        .bitwiseAND(F.lit(-places))
+        .bitwiseOR(i.bitwiseAND(F.lit(places - 1)).cast("bigint")),
+    )
+
+
+def _runs(keys: str, width: int) -> Column:
+    """One element for each run of ``width`` keys."""
+    return F.slice(F.col(keys), 1, F.greatest(F.size(keys) - (width - 1), F.lit(0)))
+
+
+def _least(keys: str, width: int, i: Column) -> Column:
+    run = [F.get(keys, i + k) for k in range(width)]
+    return F.least(*run) if width > 1 else run[0]
+
+
+def _marked(keys: str, at: Column, places: int) -> Column:
+    """Places and hashes, each place once."""
+    return F.transform(
+        F.array_distinct(at),
+        lambda p: F.struct(p.alias("at"), F.get(keys, p).bitwiseAND(F.lit(-places)).alias("hash")),
     )
-    return F.transform(places, lambda p: F.struct(p.alias("at"), F.get(grams, p).alias("hash")))
+
+
+def _winnowed(keys: str, width: int, places: int) -> Column:
+    """A place with the least gram of every ``width`` grams. Which one of equal grams is
+    taken depends on where the run begins."""
+    at = F.transform(
+        _runs(keys, width),
+        lambda _, i: i
+        + F.pmod(
+            _least(keys, width, i).bitwiseAND(F.lit(places - 1)).cast("int") - i, F.lit(places)
+        ),
+    )
+    return _marked(keys, at, places)
+
+
+def _winnowed_all(keys: str, width: int, places: int) -> Column:
+    """All places with the least gram of every ``width`` grams, whichever the other side takes."""
+    at = F.transform(
+        _runs(keys, width),
+        lambda _, i: F.filter(
+            F.sequence(i, i + F.lit(width - 1)),
+            lambda p: F.get(keys, p).bitwiseAND(F.lit(-places))
+            == _least(keys, width, i).bitwiseAND(F.lit(-places)),
+        ),
+    )
+    return _marked(keys, F.flatten(at), places)
 
 
 def _equal_run(words: str, item: str, at: Column, item_at: Column) -> Column:
@@ -85,6 +125,7 @@ def find_contamination(
     A document is contaminated when a twentieth of its words or more are hit.
     """
     width = window - gram + 1
+    places = 1 << (width - 1).bit_length()
     items = staged(
         benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(text_of()).alias("item"))
         .where(F.size("item") > 0)
@@ -93,20 +134,34 @@ def find_contamination(
     )
     own = docs.select("doc_id", words_of(text_of()).alias("words"))
 
+    def keyed(rows: DataFrame, words: str) -> DataFrame:
+        codes = rows.withColumn("_codes", F.transform(words, lambda w: F.xxhash64(w)))
+        return codes.withColumn("_keys", _keys("_codes", gram, places))
+
     marks = (
-        items.where(F.size("item") >= window)
-        .withColumn("_g", _grams("item", gram))
-        .select("item_id", "item", F.explode(_winnowed("_g", width)).alias("_m"))
-        .select("item_id", "item", F.col("_m.at").alias("item_at"), F.col("_m.hash").alias("hash"))
+        keyed(items.where(F.size("item") >= window), "item")
+        .select("item_id", F.explode(_winnowed_all("_keys", width, places)).alias("_m"))
+        .select(F.col("_m.hash").alias("mark"), "item_id", F.col("_m.at").alias("item_at"))
+    )
+    marks = staged(marks, "marks")
+    # Each row's number of words travels with its fingerprints, as one that meets nothing,
+    # so that texts are split into words once.
+    counted = F.struct(
+        (-1 - F.size("words")).alias("at"), F.xxhash64("doc_id", F.lit("words")).alias("hash")
     )
-    marks = staged(marks.withColumn("length", F.lit(0)), "marks")
     prints = (
-        own.withColumn("_g", _grams("words", gram))
-        .select("doc_id", F.explode(_winnowed("_g", width)).alias("_m"))
+        keyed(own, "words")
+        .select(
+            "doc_id",
+            F.explode(F.concat(F.array(counted), _winnowed("_keys", width, places))).alias("_m"),
+        )
         .select("doc_id", F.col("_m.at").alias("at"), F.col("_m.hash").alias("hash"))
     )
-    keys = marks.select("hash", "item_id", "item_at")
-    hits = prints.join(keys, "hash").select("doc_id", "at", "item_id", "item_at")
+    met = prints.join(marks, (F.col("hash") == F.col("mark")) & (F.col("at") >= 0), "left")
+    met = met.where(F.col("item_id").isNotNull() | (F.col("at") < 0))
+    met = staged(met.select("doc_id", "at", "item_id", "item_at"), "met")
+    counted = met.where("at < 0").select("doc_id", (-1 - F.col("at")).cast("bigint").alias("n_words"))
+    hits = met.where("at >= 0")
 
     short = items.where(F.size("item") < window)
     lengths = sorted(r["n"] for r in short.select(F.size("item").alias("n")).distinct().collect())
@@ -151,7 +206,6 @@ def find_contamination(
         ),
     )["n"]
     found = per_doc.select("doc_id", merged.alias("n_hit"), "item_ids")
-    counted = own.select("doc_id", F.size("words").cast("bigint").alias("n_words"))
     hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("bigint")
     return join_by_id(counted, found, "left").select(
         "doc_id",
