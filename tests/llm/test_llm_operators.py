@@ -173,9 +173,13 @@ def test_decontamination_matches_brute_force(spark, texts):
     rng = random.Random(9)
     long_item = prose(rng, 30)
     items = [long_item, long_item, "One-Two", texts[8].upper(), None, "", "...", " ".join(texts[0].split()[5:18])]
+    # Equal grams within a run, and passages that begin anywhere in them.
+    items += ["do " * 20, "fa la " * 9, "x " + "ti " * 14 + "y"]
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
     part = long_item.split()
     docs = frame(spark, [*texts, "z " + " ".join(part[3:16]) + " y", " ".join(part[3:15]), long_item + " q " + long_item])
+    cycles = [*("do " * k for k in (12, 13, 15)), *("u " * k + "la fa " * 8 for k in range(9)), "ti " * 16 + "y"]
+    docs = docs.unionByName(frame(spark, cycles, 100_000))
     got = {r["doc_id"]: r for r in decontamination.find_contamination(docs, benchmark).collect()}
     windows = {}
     for i, text in enumerate(items):
