@@ -27,11 +27,17 @@ def segment_bits(docs: int) -> int:
     return max(LEAST_SEGMENTS, docs // DOCS_PER_SEGMENT).bit_length() - 1
 
 
-def blobs(keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Sorted distinct keys and their counts as one row per segment."""
+def blobs(keys: np.ndarray, counts: np.ndarray, bits: int, short: bool = False) -> pa.RecordBatch:
+    """Sorted distinct keys and their counts as one row per segment.
+
+    ``short`` keeps the 32 bits that follow the segment's: half the bytes, and some keys
+    become equal by chance.
+    """
     segments = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
     at = np.append(np.searchsorted(keys, segments), len(keys))
     full = np.flatnonzero(np.diff(at))
+    if short:
+        keys = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(full.astype(np.int32)),
@@ -53,9 +59,13 @@ def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 def per_segment(
-    runs: DataFrame, reduce: Callable[[int, np.ndarray, np.ndarray], pa.RecordBatch], schema: str
+    runs: DataFrame,
+    reduce: Callable[[int, np.ndarray, np.ndarray], pa.RecordBatch],
+    schema: str,
+    short: bool = False,
 ) -> DataFrame:
     """``reduce(segment, keys, counts)`` of each segment, with its keys merged and counted."""
+    kind = np.uint32 if short else np.uint64
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, keys, counts = None, [], []
@@ -69,7 +79,7 @@ def per_segment(
                     yield done()
                     keys, counts = [], []
                 at = segment
-                keys.append(np.frombuffer(k, np.uint64))
+                keys.append(np.frombuffer(k, kind))
                 counts.append(np.frombuffer(c, np.uint32))
         if at is not None:
             yield done()

@@ -13,8 +13,8 @@ only phrases that share such a stretch with another are suspicious; their suffix
 100 bytes or more are put in order by their first 100 bytes, equal ones come together, and
 all but the earliest in corpus order go.
 
-To see which phrases can meet at all, stretches are counted as 64-bit hashes first, and
-those that occur twice mark a bitmap of fixed size, which is broadcast. A phrase whose
+To see which phrases can meet at all, stretches are counted first, by the bits of a segment
+of their hash and 32 more, and those that occur twice mark a bitmap of fixed size, which is broadcast. A phrase whose
 stretches are not marked occurs once and is never shuffled; false marks cost rows, not
 results. Suffixes are ordered by the 64-bit hash of their first 100 bytes, since only
 equality matters.
@@ -107,17 +107,16 @@ def _stretches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Reco
                 if after is not None:
                     keys.append(after)
             if len(keys) >= FLUSH_KEYS:
-                yield _segments.blobs(*_segments.summed(np.array(keys)), bits)
+                yield _segments.blobs(*_segments.summed(np.array(keys)), bits, short=True)
                 keys = array("Q")
     if keys:
-        yield _segments.blobs(*_segments.summed(np.array(keys)), bits)
+        yield _segments.blobs(*_segments.summed(np.array(keys)), bits, short=True)
 
 
 def _marks(segment: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     """The part of the bitmap that a segment fills: its keys that occur twice or more."""
     marked = np.zeros(1 << (BITMAP_BITS - bits), bool)
-    inside = (keys[counts > 1] >> _U(64 - BITMAP_BITS)) & _U((1 << (BITMAP_BITS - bits)) - 1)
-    marked[inside.astype(np.int64)] = True
+    marked[(keys[counts > 1] >> np.uint32(32 - BITMAP_BITS + bits)).astype(np.int64)] = True
     return pa.RecordBatch.from_arrays(
         [pa.array([segment], pa.int32()), pa.array([np.packbits(marked).tobytes()], pa.binary())],
         ["segment", "marks"],
@@ -269,7 +268,7 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     bits = _segments.segment_bits(texts.count())
     stretches = texts.select("text").mapInArrow(lambda b: _stretches(b, bits), _segments.BLOBS)
     parts = _segments.per_segment(
-        stretches, lambda s, k, c: _marks(s, k, c, bits), "segment int, marks binary"
+        stretches, lambda s, k, c: _marks(s, k, c, bits), "segment int, marks binary", short=True
     )
     bitmap = bytearray(1 << (BITMAP_BITS - 3))
     size = 1 << (BITMAP_BITS - 3 - bits)
