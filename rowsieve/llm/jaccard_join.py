@@ -328,10 +328,11 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
     among the rarest T + 1, where T is the most they may differ, and no more are shared
     than are at least as frequent.
     """
-    crowded = met.where("n > 2").select("sig", "id", "size", "visits", "hub")
-    named = crowded.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = met.select("sig", "id", "n", "size", "visits", "hub")
+    named = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     # A bucket is open while it holds two components; who is in too few open ones to link
-    # leaves, which closes others.
+    # leaves, which closes others. All buckets count for that, those of two members too:
+    # a pair may have part of what it has in common there.
     left = named
     for _ in range(PRUNINGS):
         split = left.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
@@ -344,7 +345,9 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
             .select("id", "visits")
         )
         left = staged(in_open.join(enough, ["id", "visits"], "left_semi"), "left")
-    left = left.where("id <> hub")
+    # In a bucket of two, one is the hub. A pair that meets enough under one of its own was
+    # tested there; any other also meets under a third hub.
+    left = left.where("n > 2 and id <> hub").drop("n")
 
     around = left.select("id", "hub", "size", "component").distinct()
     around = staged(around, "members")

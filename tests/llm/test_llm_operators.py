@@ -236,6 +236,28 @@ def test_jaccard_groups_match_brute_force(spark, texts):
     assert jaccard_join.link_documents(empty(spark)).count() == 0
 
 
+def test_links_over_buckets_of_several_hubs(spark):
+    """Chains of copies at 0.90 to 0.92, whose common subsets lie partly in buckets of two."""
+    rng = random.Random(7)
+    fresh = iter(range(1 << 30))
+
+    def edited(words, edits):
+        at = set(rng.sample(range(len(words) // 4), edits))
+        return [f"e{next(fresh)}" if i % 4 == 0 and i // 4 in at else w for i, w in enumerate(words)]
+
+    every = []
+    for size, families in ((300, 8), (600, 8), (1200, 40), (3000, 6)):
+        most = int(size * 0.0175)
+        for family in range(families):
+            z = [f"w{size}.{family}.{i}" for i in range(size)]
+            x = edited(z, int(most * 1.1) + 1)
+            y = edited(x, most - family % 2)
+            every += [" ".join(words) for words in (z, edited(z, 2), x, y)]
+    docs = frame(spark, every)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link_documents(docs).collect()}
+    assert [got[i] for i in range(len(every))] == expected_groups(every)
+
+
 @pytest.mark.parametrize("size", [9, 10, 17, 40, 333])
 def test_signatures_lose_no_pair(size):
     rng = np.random.default_rng(size)
