@@ -39,7 +39,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document: where it lies in the training sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, added_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,6 +40,9 @@ OPEN_WINDOWS = 64
 MERGED = 32
 END_ID = 1
 VOCABULARY = "byte_bpe_50k"
+#: Blanks in a row from which on a text takes the slower way to the same ids.
+LONG_BLANKS = 10_000
+BLANKS = re.compile(rf"\s{{{LONG_BLANKS}}}")
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -47,22 +51,43 @@ PIECES = (
 
 
 class _Encoder:
-    """The public byte-level vocabulary, loaded once per worker process."""
+    """Ids of the public byte-level vocabulary, loaded once per worker process.
 
-    _kept: dict[str, object] = {}
+    They are those of ``tokenizers`` with the vocabulary's json file. ``tiktoken`` gives the
+    same ones faster, but fails on very long runs of blanks; texts with such go through
+    ``tokenizers`` itself. With ``added`` the json's added tokens are found in plain text,
+    as ``tokenizers`` does by default; otherwise they are text like any other.
+    """
 
-    @classmethod
-    def load(cls, name: str):
-        if name not in cls._kept:
-            import public_tokenizers
-            import tiktoken
+    _kept: dict[tuple[str, bool], _Encoder] = {}
+
+    def __init__(self, name: str, added: bool):
+        import public_tokenizers
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        self.whole.encode_special_tokens = not added
+        tokens = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
+        with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
+            ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding(
+            name,
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks=ranks,
+            special_tokens=tokens if added else {},
+        )
+
+    def __call__(self, text: str) -> list[int]:
+        if len(text) >= LONG_BLANKS and BLANKS.search(text):
+            return self.whole.encode(text, add_special_tokens=False).ids
+        return self.fast.encode(text, allowed_special="all")
 
-            with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
-                ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
-            cls._kept[name] = tiktoken.Encoding(
-                name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-            )
-        return cls._kept[name]
+    @classmethod
+    def load(cls, name: str, added: bool) -> _Encoder:
+        if (name, added) not in cls._kept:
+            cls._kept[name, added] = cls(name, added)
+        return cls._kept[name, added]
 
 
 class OpenWindows:
@@ -98,8 +123,8 @@ class OpenWindows:
         return sorted(self.held.items())
 
 
-def _packed(batches: Iterator[pd.DataFrame], length: int, windows: int, vocabulary: str):
-    encode = _Encoder.load(vocabulary).encode_ordinary
+def _packed(batches: Iterator[pd.DataFrame], length: int, windows: int, vocabulary: str, added: bool):
+    encode = _Encoder.load(vocabulary, added)
     part = TaskContext.get().partitionId()
     space = OpenWindows(windows, length)
     out: list[tuple] = []
@@ -149,17 +174,25 @@ def _merged(pieces: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def pack(
-    docs: DataFrame, length: int = LENGTH, windows: int = OPEN_WINDOWS, vocabulary: str = VOCABULARY
+    docs: DataFrame,
+    length: int = LENGTH,
+    windows: int = OPEN_WINDOWS,
+    vocabulary: str = VOCABULARY,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: where its ids come from and where they go.
 
+    With ``added_tokens``, the vocabulary's added tokens count as such where a text spells
+    them out.
+
     ``sequence_id`` is negative for merged leftovers. A sequence ends after its last
     piece; what is missing to ``length`` is padding.
     """
     importable_by_workers(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_of().alias("text"))
     pieces = staged(
-        rows.mapInPandas(lambda batches: _packed(batches, length, windows, vocabulary), PIECES), "pieces"
+        rows.mapInPandas(lambda batches: _packed(batches, length, windows, vocabulary, added_tokens), PIECES),
+        "pieces",
     )
     leftovers = pieces.where(~F.col("full"))
     group = F.floor(F.col("part") / MERGED).alias("_group")

@@ -59,7 +59,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir))
+    return packing.pack(documents(spark, sf_dir), added_tokens=True)
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,6 +167,29 @@ def test_packing_is_an_exact_cover(spark, texts):
     assert packing.pack(empty(spark)).count() == 0
 
 
+def test_packed_ids_are_the_tokenizers_own(spark, tmp_path):
+    """Added tokens spelled out in a text, and runs of blanks too long for the faster encoder."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    import public_tokenizers
+    from rowsieve.llm.queries import op5_packing
+
+    every = ["a <|endoftext|> b", "<|endoftext|>" * 3 + "<|endoftext|", "x" + " " * 1_200_000 + "y", "\n" * 1_200_000]
+    frame(spark, every).write.parquet(str(tmp_path / "documents.parquet"))
+    reader = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = [np.array([*reader.encode(t, add_special_tokens=False).ids, 1], "<u4") for t in every]
+    expected = sorted(
+        (i, at, zlib.crc32(own[at : at + 2048].tobytes()), len(own))
+        for i, own in enumerate(ids)
+        for at in range(0, len(own), 2048)
+    )
+    assert 50256 in ids[0]
+    for pieces in (op5_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, frame(spark, every), "")):
+        got = pieces.select("doc_id", "start", "ids_crc32", "doc_tokens").collect()
+        assert sorted(tuple(r) for r in got) == expected
+
+
 def test_decontamination_matches_brute_force(spark, texts):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     lower = {i: i + 32 for i in range(65, 91)}
