@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from rowsieve.llm import decontamination, jaccard_join, packing, quality_rules, secrets
 from rowsieve.llm._shared import documents, staged
 
+#: Near duplicates have this similarity or more, in hundredths, on shingles of so many words.
+SHINGLE_WORDS, LEAST_SIMILAR = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -24,7 +27,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near duplicates."""
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, words=SHINGLE_WORDS, least=LEAST_SIMILAR)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

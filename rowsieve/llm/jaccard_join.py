@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from rowsieve.llm._graph import components
 from rowsieve.llm._shared import importable_by_workers, join_by_id, staged, text_of
 
+# Fixed values of the registered query: words of a shingle, and similarity in hundredths.
 WORDS = 3
-#: Similarity, in hundredths.
 LEAST = 90
 BAND_GROWTH = 1.5
 #: What a verified candidate costs in indexed signatures, and how far a typical pair that
@@ -411,12 +411,12 @@ def _left_to_verify(met, tested, sets, found, least: int) -> DataFrame:
     return staged(pairs.join(done, ["a", "b"], "left_anti"), "left-pairs")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """The document with the least id of each group; others as they were.
 
     Documents without shingles or without an id are groups of their own. Of rows that
     repeat an id, all stay or none.
     """
-    groups = link_documents(docs)
+    groups = link_documents(docs, words, least)
     dropped = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     return join_by_id(docs, dropped, "left_anti").select(*docs.columns)

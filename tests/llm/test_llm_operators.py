@@ -281,6 +281,36 @@ def test_links_over_buckets_of_several_hubs(spark):
     assert [got[i] for i in range(len(every))] == expected_groups(every)
 
 
+def test_pipeline_keeps_one_of_five_word_near_duplicates(spark, texts):
+    """Groups at five words and 0.8 by brute force, with copies that three words and 0.9 part."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    every = list(texts)
+    for size, edits in ((60, 1), (90, 2), (200, 4), (400, 8), (400, 9), (1500, 33), (1500, 32)):
+        for _ in range(3):
+            words = [f"w{size}.{rng.randrange(1 << 30)}" for _ in range(size)]
+            every.append(" ".join(words))
+            for _ in range(3):  # each a copy of the one before
+                for at in rng.sample(range(size), edits):
+                    words[at] = f"e{rng.randrange(1 << 30)}"
+                every.append(" ".join(words))
+    sets = []
+    for text in every:
+        words = (text or "").encode().lower().split()
+        n = min(5, len(words))
+        sets.append({tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if n else set())
+    group = list(range(len(every)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = group[i], group[j]
+                group = [min(x, y) if g in (x, y) else g for g in group]
+    kept = corpus_pipeline.one_of_each_group(spark, frame(spark, every), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i, g in enumerate(group) if g == i]
+    assert sum(g == i for i, g in enumerate(group)) < sum(g == i for i, (_, g) in enumerate(expected_groups(every)))
+
+
 @pytest.mark.parametrize("size", [9, 10, 17, 40, 333])
 def test_signatures_lose_no_pair(size):
     rng = np.random.default_rng(size)
