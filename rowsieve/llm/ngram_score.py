@@ -2,16 +2,16 @@
 
 Words and word pairs of the training documents are counted exactly, in segments of their
 hashes. A count c is stored as its quantised logarithm q = 1 + floor(log2 c): the n-gram
-goes into a Bloom filter once with each of the numbers 1 to q. The workers, who get the
-filter by broadcast, ask for 1, 2, 3 and so on until the filter says no; what they
-counted to gives the count back, up to a factor of two. A word's probability mixes the
+goes into a Bloom filter once with each of the numbers 1 to q. Workers ask the filter for
+1, 2, 3 and so on until it says no; what they counted to gives the count back, up to a
+factor of two. A word's probability mixes the
 share of its pair among all pairs of the word before (the end mark, for the first one)
 with its own share, smoothed by adding one.
 
-The filter has a fixed size, whatever the corpus, and each segment fills its equal part
-of it from the most frequent n-grams down, as far as its error rate allows: beyond that
-size, the rarest pairs are not held and the model falls back on their words. Nothing
-else depends on the size.
+Each segment's part of the filter is sized by what it holds, so that every n-gram is held
+whatever the corpus. The parts stay in a staged table, and no worker needs them all: the
+texts are cut into chunks, the distinct n-grams of a chunk go to their segments, and what
+the filter tells of them comes back to the chunk.
 
 The base score needs exact counts. Words at or above a count are broadcast, with the
 count set such that there are a million of them at most; occurrences of rarer words meet
@@ -34,15 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm import _segments
-from rowsieve.llm._shared import importable_by_workers, remainder_of_id, staged, text_of
+from rowsieve.llm._shared import importable_by_workers, remainder_of_id, shuffle_parts, staged, text_of
 
-FILTER_BITS = 28
 PROBES = 4
 #: Bits of the filter for each n-gram and number held; bounds the rate of false answers.
 BITS_EACH = 8
 PAIR_SHARE = 0.3
 MOST_FREQUENT = 1_000_000
 FLUSH_WORDS = 3_000_000
+#: Tokens of a chunk, but for the last text in it.
+CHUNK_WORDS = 1_000_000
 MOST_LEVELS = 62
 
 _U = np.uint64
@@ -102,6 +103,12 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (3 * 2.0 ** (levels - 1.0) - 1) / 2, 0.0)
 
 
+def _short(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits that follow the segment's: few enough keys meet by chance, and those are
+    told the larger count."""
+    return ((keys << _U(bits)) >> _U(32)).astype(np.uint32)
+
+
 def _bits_of(keys: np.ndarray, level: int, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Word of the segment's part, and the bits in it, for keys at a level."""
     code = _mix(keys + _U(level) * _U(0x9E3779B97F4A7C15))
@@ -114,20 +121,16 @@ def _bits_of(keys: np.ndarray, level: int, words: int) -> tuple[np.ndarray, np.n
 MODEL = "segment int, words binary, counts binary, filter binary, total bigint, distinct_words bigint, from_count array<bigint>"
 
 
-def _part(segment: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
+def _part(
+    segment: int, keys: np.ndarray, counts: np.ndarray, bits: int, bits_each: int = BITS_EACH
+) -> pa.RecordBatch:
     """A segment's words with their counts, and its part of the filter."""
-    words = (1 << (FILTER_BITS - bits)) // 64
-    levels = levels_of(counts)
-    room = words * 64 // BITS_EACH
-    # The least count from which on everything fits.
-    by_count = np.argsort(-counts, kind="stable")
-    filled = np.cumsum(levels[by_count])
-    fits = int(np.searchsorted(filled, room, side="right"))
-    least = 1 if fits == len(keys) else int(counts[by_count[fits]]) + 1
-    held = counts >= least
+    levels, short = levels_of(counts), _short(keys, bits).astype(_U)
+    # A power of two of 64-bit words that gives every entry its bits.
+    words = 1 << ((int(levels.sum()) * bits_each - 1) // 64).bit_length()
     part = np.zeros(words, _U)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        at, mask = _bits_of(keys[held & (levels >= level)], level, words)
+        at, mask = _bits_of(short[levels >= level], level, words)
         np.bitwise_or.at(part, at, mask)
     single = (keys & _U(1)) == 0
     own = counts[single]
@@ -157,8 +160,23 @@ def _words(batches: Iterator[pa.RecordBatch], least: float, most: float) -> Iter
             )
 
 
+def told(part: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Levels of short keys as a segment's filter tells them: probe for 1, 2, ... until it
+    says no."""
+    keys = keys.astype(_U)
+    levels = np.zeros(len(keys), np.uint8)
+    alive = np.arange(len(keys)) if len(part) else np.array([], np.int64)
+    for level in range(1, MOST_LEVELS + 1):
+        at, mask = _bits_of(keys[alive], level, len(part))
+        alive = alive[(part[at] & mask) == mask]
+        if not len(alive):
+            break
+        levels[alive] = level
+    return levels
+
+
 class Model:
-    """What the workers get: the filter, and the exact counts of frequent words."""
+    """Sums over all words, the exact counts of frequent ones, and one segment's filter or none."""
 
     def __init__(self, filter_: bytes, bits: int, words: np.ndarray, counts: np.ndarray, total: int, distinct: int):
         self.filter, self.bits = np.frombuffer(filter_, _U), bits
@@ -167,18 +185,8 @@ class Model:
         self.total, self.distinct = total, distinct
 
     def probed(self, keys: np.ndarray) -> np.ndarray:
-        """Counts as the filter tells them: probe for 1, 2, ... until it says no."""
-        words = (1 << (FILTER_BITS - self.bits)) // 64
-        base = (keys >> _U(64 - self.bits)).astype(np.int64) * words
-        levels = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
-        for level in range(1, MOST_LEVELS + 1):
-            at, mask = _bits_of(keys[alive], level, words)
-            alive = alive[(self.filter[base[alive] + at] & mask) == mask]
-            if not len(alive):
-                break
-            levels[alive] = level
-        return count_of(levels)
+        """Counts of the segment's keys as its filter tells them."""
+        return count_of(told(self.filter, _short(keys, self.bits)))
 
     def exact(self, keys: np.ndarray) -> np.ndarray:
         """Exact counts of frequent words, 0 for others."""
@@ -187,75 +195,170 @@ class Model:
         at = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
         return np.where(self.words[at] == keys, self.counts[at], 0)
 
-    def score(self, tokens: np.ndarray):
-        """Per token: exact count (0 if not frequent) and the model's log10 probability."""
-        singles, pairs = _keys(tokens)
-        word, which = np.unique(singles, return_inverse=True)
-        counts = self.probed(word)
-        own = counts[which]
-        before = np.append(self.probed(np.array([_END], _U) & ~_U(1)), own[:-1])
-        pair, which_pair = np.unique(pairs, return_inverse=True)
-        together = self.probed(pair)[which_pair]
+    def score(self, tokens: np.ndarray, own: np.ndarray, together: np.ndarray) -> np.ndarray:
+        """Per token: the model's log10 probability, from the counts of words and of pairs."""
+        end = own[np.flatnonzero(tokens == _U(_END))[:1]]
+        before = np.append(end, own[:-1])
         alone = (own + 1) / (self.total + self.distinct + 1)
         share = np.minimum(together / np.maximum(before, 1), 1.0)
-        mixed = np.where(before > 0, PAIR_SHARE * share + (1 - PAIR_SHARE) * alone, alone)
-        return singles, self.exact(word)[which], np.log10(mixed)
+        return np.log10(np.where(before > 0, PAIR_SHARE * share + (1 - PAIR_SHARE) * alone, alone))
+
+
+# A chunk's number is that of its first row. A row holds a chunk's texts (segment -1), or
+# what belongs to one of its segments: keys asked for, and then the levels told.
+CHUNKS = "chunk bigint, segment int, data binary, doc_ids array<bigint>, ends array<bigint>, vocabulary binary"
+CHUNK_SCHEMA = pa.schema(
+    [
+        ("chunk", pa.int64()),
+        ("segment", pa.int32()),
+        ("data", pa.binary()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("ends", pa.list_(pa.int64())),
+        ("vocabulary", pa.binary()),
+    ]
+)
+
+
+def _chunk_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(CHUNK_SCHEMA)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(values, field.type) for values, field in zip(columns, CHUNK_SCHEMA)], schema=CHUNK_SCHEMA
+    )
+
+
+def _chunked(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Texts as places of their tokens in their chunk's vocabulary."""
+    read, row = Reader(), TaskContext.get().partitionId() << 33
+    ids, ends, flat = [], [], []
+
+    def done() -> pa.RecordBatch:
+        vocabulary, at, n = np.unique(np.array(flat, _U), return_inverse=True, return_counts=True)
+        # Frequent ones first, and bytes of one rank together: most high ones are zero and pack well.
+        order = np.argsort(-n, kind="stable")
+        place = np.empty(len(order), "<u4")
+        place[order] = np.arange(len(order))
+        data = place[at].view(np.uint8).reshape(-1, 4).T.tobytes()
+        return _chunk_rows([(row, -1, data, ids, ends, vocabulary[order].tobytes())])
+
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            flat += read(text)
+            ids.append(doc_id)
+            ends.append(len(flat))
+            if len(flat) >= most:
+                yield done()
+                row += len(ids)
+                ids, ends, flat = [], [], []
+    if ids:
+        yield done()
+
+
+def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's vocabulary, and the place of each token in it."""
+    places = np.frombuffer(row["data"], np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    return np.frombuffer(row["vocabulary"], _U), places
+
+
+def _asked(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The distinct keys of each chunk, one row per segment."""
+    edges = np.arange(1 << bits, dtype=_U) << _U(64 - bits)
+    for batch in batches:
+        for row in batch.to_pylist():
+            vocabulary, places = _tokens(row)
+            keys = np.unique(np.concatenate(_keys(vocabulary[places])))
+            short = _short(keys, bits)
+            at = np.append(np.searchsorted(keys, edges), len(keys))
+            full = np.flatnonzero(np.diff(at))
+            yield _chunk_rows(
+                [(row["chunk"], int(s), short[at[s] : at[s + 1]].tobytes(), None, None, None) for s in full]
+            )
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Levels of the keys asked for; each segment's filter (chunk -1) comes before them."""
+    at, part = None, np.array([], _U)
+    for batch in batches:
+        out = []
+        for chunk, segment, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if segment != at:
+                at, part = segment, np.array([], _U)
+            if chunk < 0:
+                part = np.frombuffer(data, _U)
+            else:
+                out.append((chunk, segment, told(part, np.frombuffer(data, np.uint32)).tobytes(), None, None, None))
+        yield _chunk_rows(out)
 
 
 ROWS = "row bigint, doc_id bigint, n_tokens bigint, n_frequent bigint, frequent_log double, score double, rare array<bigint>"
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    read, row = Reader(), TaskContext.get().partitionId() << 33
+    """Scores of each chunk's texts; the levels told follow them in the order of segments."""
     model = model.value
     names = [c.split()[0] for c in ROWS.split(", ")]
-    for batch in batches:
-        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-        at = 0
-        while at < len(texts):
-            flat, ends = [], []
-            first = at
-            while at < len(texts) and (not flat or len(flat) < 200_000):
-                flat += read(texts[at])
-                ends.append(len(flat))
-                at += 1
-            keys, counts, logs = model.score(np.array(flat, _U))
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            known = counts > 0
-            rare = np.flatnonzero(~known)
-            cut = np.searchsorted(rare, np.append(starts, len(flat))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(row, row + len(ends))),
-                    pa.array(ids[first:at], pa.int64()),
-                    pa.array(np.diff(np.append(starts, len(flat)))),
-                    pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                    pa.array(np.add.reduceat(np.log10(counts + 1.0), starts)),
-                    pa.array(np.add.reduceat(logs, starts)),
-                    pa.ListArray.from_arrays(pa.array(cut), pa.array(keys[rare].view(np.int64))),
-                ],
-                names,
-            )
-            row += len(ends)
 
-
-def train(texts: DataFrame) -> tuple[Model, DataFrame, float]:
+    def done(row: dict, levels: list[bytes]) -> pa.RecordBatch:
+        vocabulary, places = _tokens(row)
+        tokens, ends = vocabulary[places], np.array(row["ends"])
+        singles, pairs = _keys(tokens)
+        _, which = np.unique(np.concatenate([singles, pairs]), return_inverse=True)
+        counts = count_of(np.frombuffer(b"".join(levels), np.uint8).astype(np.int64))[which]
+        logs = model.score(tokens, counts[: len(tokens)], counts[len(tokens) :])
+        exact = model.exact(vocabulary & ~_U(1))[places]
+        starts = np.append(0, ends[:-1])
+        known = exact > 0
+        rare = np.flatnonzero(~known)
+        cut = np.searchsorted(rare, np.append(starts, len(tokens))).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.arange(row["chunk"], row["chunk"] + len(ends))),
+                pa.array(row["doc_ids"], pa.int64()),
+                pa.array(ends - starts),
+                pa.array(np.add.reduceat(known.astype(np.int64), starts)),
+                pa.array(np.add.reduceat(np.log10(exact + 1.0), starts)),
+                pa.array(np.add.reduceat(logs, starts)),
+                pa.ListArray.from_arrays(pa.array(cut), pa.array(singles[rare].view(np.int64))),
+            ],
+            names,
+        )
+
+    texts, levels = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["segment"] >= 0:
+                levels.append(row["data"])
+                continue
+            if texts:
+                yield done(texts, levels)
+            texts, levels = row, []
+    if texts:
+        yield done(texts, levels)
+
+
+def _told_of(chunks: DataFrame, parts: DataFrame, bits: int) -> DataFrame:
+    """The chunks, each followed by what the filter tells of its keys, in order of segments."""
+    tasks = max(shuffle_parts(chunks.sparkSession), 12)
+    asked = chunks.mapInArrow(lambda b: _asked(b, bits), CHUNKS)
+    filters = parts.select(F.lit(-1).cast("bigint").alias("chunk"), "segment", F.col("filter").alias("data"))
+    both = asked.select("chunk", "segment", "data").unionByName(filters)
+    dealt = both.repartition(tasks, "segment").sortWithinPartitions("segment", "chunk")
+    answers = dealt.mapInArrow(_answered, CHUNKS)
+    return chunks.unionByName(answers).repartition(tasks, "chunk").sortWithinPartitions("chunk", "segment")
+
+
+def train(texts: DataFrame, bits_each: int = BITS_EACH) -> tuple[Model, DataFrame, float]:
     """A model of ``texts(text)``, the table of its parts, and the count of frequent words."""
     bits = _segments.segment_bits(texts.count())
     runs = texts.mapInArrow(lambda b: _counted(b, bits), _segments.BLOBS)
-    parts = staged(_segments.per_segment(runs, lambda s, k, c: _part(s, k, c, bits), MODEL), "ngram-parts")
+    parts = staged(_segments.per_segment(runs, lambda s, k, c: _part(s, k, c, bits, bits_each), MODEL), "ngram-parts")
     totals = parts.agg(F.sum("total").alias("n"), F.sum("distinct_words").alias("v")).first()
     steps = parts.select(F.posexplode("from_count").alias("step", "n")).groupBy("step").agg(F.sum("n").alias("n"))
     enough = steps.where(F.col("n") <= MOST_FREQUENT).agg(F.min("step")).first()[0]
     frequent = 2.0 ** ((enough or 0) / 2)
     head = parts.select("words", "counts").mapInArrow(lambda b: _words(b, frequent, np.inf), "word bigint, c bigint")
     head = head.toArrow()
-    size = 1 << (FILTER_BITS - bits - 3)
-    filter_ = bytearray(size << bits)
-    for r in parts.select("segment", "filter").toLocalIterator():
-        filter_[r["segment"] * size : (r["segment"] + 1) * size] = r["filter"]
     model = Model(
-        bytes(filter_),
+        b"",
         bits,
         head.column("word").to_numpy().view(_U),
         head.column("c").to_numpy(),
@@ -265,7 +368,13 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame, float]:
     return model, parts, frequent
 
 
-def score_texts(docs: DataFrame, held_out: int = 2, modulus: int = 7) -> DataFrame:
+def score_texts(
+    docs: DataFrame,
+    held_out: int = 2,
+    modulus: int = 7,
+    bits_each: int = BITS_EACH,
+    chunk_words: int = CHUNK_WORDS,
+) -> DataFrame:
     """Per document: token counts, the base score and the model's score.
 
     Documents whose crc32 of the id has remainder ``held_out`` teach the model nothing.
@@ -275,9 +384,11 @@ def score_texts(docs: DataFrame, held_out: int = 2, modulus: int = 7) -> DataFra
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
     texts = docs.select(doc_id, text_of().alias("text"), (remainder_of_id(modulus) == held_out).alias("held_out"))
     learnt = texts.where(~F.coalesce("held_out", F.lit(False))).select("text")
-    model, parts, frequent = train(learnt)
+    model, parts, frequent = train(learnt, bits_each)
     shared = spark.sparkContext.broadcast(model)
-    rows = staged(texts.select("doc_id", "text").mapInArrow(lambda b: _scored(b, shared), ROWS), "scores")
+    chunks = staged(texts.select("doc_id", "text").mapInArrow(lambda b: _chunked(b, chunk_words), CHUNKS), "chunks")
+    told_of = _told_of(chunks, parts, model.bits)
+    rows = staged(told_of.mapInArrow(lambda b: _scored(b, shared), ROWS), "scores")
     rare = rows.select("row", F.explode("rare").alias("word"))
     counts = parts.select("words", "counts").mapInArrow(lambda b: _words(b, 0, frequent), "word bigint, c bigint")
     sums = (

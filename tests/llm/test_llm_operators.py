@@ -376,6 +376,43 @@ def test_filter_gives_counts_back():
     assert np.all(told >= counts[held] / 2) and np.mean(told <= counts[held] * 2) > 0.9
 
 
+def test_no_count_is_left_out_of_a_full_segment():
+    """Of 40,000 n-grams seen once or twice in one segment, all are told."""
+    keys = np.unique(np.random.default_rng(4).integers(0, 1 << 54, 40_000, dtype=np.uint64))
+    counts = np.random.default_rng(5).integers(1, 3, len(keys))
+    part = ngram_score._part(0, keys, counts, 10).to_pylist()[0]
+    model = ngram_score.Model(part["filter"], 10, keys[:0], counts[:0], 1, 1)
+    assert np.all(model.probed(keys) >= counts / 2)
+    others = np.unique(np.random.default_rng(6).integers(0, 1 << 54, 40_000, dtype=np.uint64))
+    assert np.mean(model.probed(others) > 0) < 0.1
+
+
+def test_model_scores_match_exact_counts(spark, texts):
+    """Over several chunks, scores are those of counts rounded to their levels."""
+    docs = frame(spark, texts).repartition(3)
+    rows = ngram_score.score_texts(docs, bits_each=512, chunk_words=300).collect()
+    got = {r["doc_id"]: r["score"] for r in rows}
+    tokens = [[None, *(t or "").encode().lower().split(), None] for t in texts]
+    single, pair = {}, {}
+    for i, words in enumerate(tokens):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            for before, word in zip(words, words[1:]):
+                single[word] = single.get(word, 0) + 1
+                pair[before, word] = pair.get((before, word), 0) + 1
+    size = sum(single.values()) + len(single) + 1
+
+    def level(count):
+        return (3 * 2 ** (count.bit_length() - 1) - 1) / 2 if count else 0.0
+
+    for i, words in enumerate(tokens):
+        score = 0.0
+        for before, word in zip(words, words[1:]):
+            alone, seen = (level(single.get(word, 0)) + 1) / size, level(single.get(before, 0))
+            share = min(level(pair.get((before, word), 0)) / max(seen, 1), 1)
+            score += np.log10(0.3 * share + 0.7 * alone if seen else alone)
+        assert got[i] == pytest.approx(score, rel=1e-3)
+
+
 def test_network_gradients():
     net = toxicity.Network()
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
