@@ -2,8 +2,9 @@
 
 Every text is scanned for three kinds of secrets: assignments to a telling name, access
 keys and long hex strings. Then a worklist unwraps what the text hides: percent
-escapes and Unicode escapes are decoded over the whole layer, base64 runs and the
-compressed data in them give layers of their own. Each new layer is scanned and unwrapped
+escapes and Unicode escapes are decoded over the whole layer, base64 runs, also those
+wrapped over lines, and the compressed data in them give layers of their own. A run is
+decoded from each of its first four characters, since a path or name may stand before it. Each new layer is scanned and unwrapped
 in turn, until nothing new appears; layers seen before are not entered again, so
 encodings that lead back to themselves end. Every layer knows which characters of the
 text each of its characters came from, so spans are reported in the text as it stands.
@@ -20,7 +21,6 @@ Repeated rows are scanned each.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -50,6 +50,15 @@ LEAST_VALUE = 12
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs that go on in the next line, as base64 does that is wrapped, and one of their lines.
+LINES = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]{2,}+)++={0,2}"
+)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+ODD = re.compile(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]")
+#: Text between other bytes, and where compressed data may begin.
+STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7E]|[\xC2-\xDF][\x80-\xBF]|[\xE0-\xEF][\x80-\xBF]{2}){12,}")
+MAGIC = re.compile(rb"\x1F\x8B\x08|\x78[\x01\x5E\x9C\xDA]|BZh[1-9]|\xFD7zXZ\x00")
 
 #: Bytes that one compressed run may unwrap to: a bound on memory, since a few bytes can
 #: stand for terabytes. What lies beyond is not scanned, and ``truncated`` says so.
@@ -111,61 +120,112 @@ def _readable(data: bytes) -> str | None:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    odd = sum(1 for c in text[:4096] if not (c.isprintable() or c in "\t\n\r"))
-    return text if text and odd * 20 <= min(len(text), 4096) else None
+    if text.isascii():
+        odd = len(ODD.findall(text))
+    else:
+        odd = sum(1 for c in text if not (c.isprintable() or c in "\t\n\r"))
+    return text if text and odd * 20 <= len(text) else None
 
 
-def _unpacked(data: bytes, most: int) -> tuple[bytes, bool] | None:
-    """Decompressed bytes, and whether the bound cut them; None for other data."""
+def _member(data, most: int) -> tuple[bytes, bool, bytes] | None:
+    """The first member of compressed data, whether the bound cut it, and what follows it."""
     try:
         if data[:2] == b"\x1f\x8b":
             opened = zlib.decompressobj(31)
-            out = opened.decompress(data, most)
-            return out, bool(opened.unconsumed_tail)
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+        elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
             opened = zlib.decompressobj()
-            out = opened.decompress(data, most)
-            return out, bool(opened.unconsumed_tail)
-        if data[:3] == b"BZh":
+        elif data[:3] == b"BZh":
             opened = bz2.BZ2Decompressor()
-            return opened.decompress(data, most), not (opened.eof or opened.needs_input)
-        if data[:6] == b"\xfd7zXZ\x00":
+        elif data[:6] == b"\xfd7zXZ\x00":
             opened = lzma.LZMADecompressor()
-            return opened.decompress(data, most), not (opened.eof or opened.needs_input)
+        else:
+            return None
+        out = opened.decompress(data, most)
     except (zlib.error, OSError, lzma.LZMAError, EOFError):
         return None
-    return None
+    cut = opened.unconsumed_tail if hasattr(opened, "unconsumed_tail") else not (opened.eof or opened.needs_input)
+    return out, bool(cut), opened.unused_data
 
 
-def _from_base64(run: str) -> bytes | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
+def _unpacked(data, most: int) -> tuple[bytes, bool] | None:
+    """Decompressed bytes of all members, and whether the bound cut them; None for other data."""
+    opened = _member(data, most)
+    if not opened:
         return None
+    out, cut, rest = opened
+    outs, left = [out], most - len(out)
+    # Some tools pad members with zeros.
+    while not cut and (rest := rest.lstrip(b"\0")) and (opened := _member(rest, max(left, 1))):
+        out, cut, rest = opened
+        outs.append(out[: max(left, 0)])
+        cut = cut or len(out) > left
+        left -= len(out)
+    return b"".join(outs), cut
+
+
+def _from_base64(run: str) -> Iterator[bytes]:
+    """What a run decodes to from each of its first four characters: what stands before base64
+    may look like it."""
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    for phase in range(4):
+        part = body[phase:]
+        part = part[:-1] if len(part) % 4 == 1 else part
+        if part:
+            yield binascii.a2b_base64(part + "=" * (-len(part) % 4))
+
+
+def _blocks(chain: str) -> set[tuple[int, int]]:
+    """Where wrapped base64 may begin and end among lines: lines of one length, with the
+    shorter one after them or without, and the same with the line before; or all lines."""
+    at = [m.span() for m in LINE.finditer(chain)]
+    sizes = [end - start for start, end in at]
+    found, i = {(0, len(at))}, 0
+    while i < len(at):
+        j = i + 1
+        while j < len(at) and sizes[j] == sizes[i]:
+            j += 1
+        if sizes[i] >= 16:
+            ends = [j, j + 1] if j < len(at) and sizes[j] < sizes[i] else [j]
+            found |= {(a, b) for a in (max(i - 1, 0), i) for b in ends if b - a > 1}
+        i = j
+    return {(at[a][0], at[b - 1][1] if b < len(at) else len(chain)) for a, b in found}
 
 
 def _children(layer: Layer, most: int) -> tuple[list[Layer], bool]:
     """Layers that one step of decoding gives."""
     text, out, cut = layer.text, [], False
 
-    def enter(data: bytes, place: tuple[int, int]) -> None:
+    def unpacked(data) -> bytes | None:
         nonlocal cut
         opened = _unpacked(data, most)
-        if opened:
+        if not opened:
+            return None
+        # Data packed more than once holds no text in between.
+        met = set()
+        while opened and opened[0] not in met:
             data, cut_here = opened
+            met.add(data)
             cut = cut or cut_here
-            # Data packed more than once holds no text in between.
-            met = {data}
-            while (again := _unpacked(data, most)) and again[0] not in met:
-                data, cut_here = again
-                met.add(data)
-                cut = cut or cut_here
-        found = _readable(data) if not opened else data.decode("utf-8", "replace")
-        if found:
-            out.append(Layer(found, None, None, place))
+            opened = _unpacked(data, most)
+        return data
+
+    def pieces(data: bytes, place: tuple[int, int]) -> None:
+        """Data as a layer if it is text, else each stretch of text in it."""
+        found = _readable(data)
+        texts = [found] if found else [m[0].decode("utf-8", "replace") for m in STRETCH.finditer(data)]
+        out.extend(Layer(t, None, None, place) for t in texts)
+
+    def enter(data: bytes, place: tuple[int, int]) -> None:
+        opened = unpacked(data)
+        if opened is not None:
+            if opened:
+                out.append(Layer(opened.decode("utf-8", "replace"), None, None, place))
+            return
+        pieces(data, place)
+        for m in MAGIC.finditer(data, 1):
+            opened = unpacked(memoryview(data)[m.start() :])
+            if opened:
+                pieces(opened, place)
 
     if "%" in text:
         parts = []
@@ -187,10 +247,15 @@ def _children(layer: Layer, most: int) -> tuple[list[Layer], bool]:
                 parts.append((m.start(), m.end(), chr(code)))
         if parts:
             out.append(layer.replaced(parts))
-    for m in BASE64.finditer(text):
-        data = _from_base64(m[0])
-        if data:
-            enter(data, layer.place(m.start(), m.end()))
+    runs = [(m[0], m.start(), m.end()) for m in BASE64.finditer(text)]
+    if "\n" in text:
+        for m in LINES.finditer(text):
+            for start, end in _blocks(m[0]):
+                run = "".join(m[0][start:end].split())
+                runs.append((run, m.start() + start, m.start() + end))
+    for run, start, end in runs:
+        for data in _from_base64(run):
+            enter(data, layer.place(start, end))
     return out, cut
 
 
