@@ -22,6 +22,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df``, written to the shared scratch folder and read back.
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsieve.llm import (
+    byte_bpe,
+    centroid_clusters,
     decontamination,
     jaccard_join,
     ngram_score,
@@ -19,8 +21,9 @@ from rowsieve.llm import (
     sharding,
     suffix_dedup,
     toxicity,
+    whitening,
 )
-from rowsieve.llm._shared import documents, labels, remainder_of_id
+from rowsieve.llm._shared import documents, embeddings, labels, remainder_of_id
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +110,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_vectors(embeddings(spark, sf_dir)).drop("centroid")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(embeddings(spark, sf_dir))
+    return whitened.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir))).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -120,10 +141,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_array_dedup,
         op9_quality_classifier,
         op10_sharding,
+        op11_centroid_clustering,
+        op12_embedding_whitening,
+        op13_byte_level_bpe,
     )
 }
 
+
+def _clusters_sql(dimensions: int = 64, clusters: int = 8, rounds: int = 10) -> str:
+    """SQL of the clustering: one table of distances, of clusters and of centroids a round."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = {dimensions}
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions})""",
+        f"points AS MATERIALIZED (SELECT r, d, x[d] AS x FROM kept, range(1, {dimensions} + 1) AS t(d))",
+        f"""first AS MATERIALIZED (
+            SELECT r, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), x) - 1 AS c
+            FROM kept QUALIFY c < {clusters})""",
+        "m0 AS MATERIALIZED (SELECT c, d, x FROM first JOIN points USING (r))",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT r, min(apart * {clusters} + c) AS best
+            FROM (SELECT r, c, CAST(sum((p.x - m.x) * (p.x - m.x)) AS HUGEINT) AS apart
+                  FROM points p JOIN m{i} m USING (d) GROUP BY r, c) GROUP BY r)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""m{i + 1} AS MATERIALIZED (
+            SELECT m.c, m.d, coalesce(CAST((s - ((s % n) + n) % n) // n AS BIGINT), m.x) AS x
+            FROM m{i} m LEFT JOIN (
+                SELECT best % {clusters} AS c, d, sum(x) AS s, count(*) AS n
+                FROM a{i} JOIN points USING (r) GROUP BY ALL) USING (c, d))"""
+            )
+    return f"""WITH {", ".join(steps)},
+        named AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS h FROM m{rounds} GROUP BY c),
+        final AS (SELECT r, best % {clusters} AS c, best // {clusters} AS apart FROM a{rounds})
+        SELECT vec_id, CAST(f.c AS INTEGER) AS cluster, CAST(apart AS BIGINT) AS distance,
+               CAST(sum(apart) OVER (PARTITION BY f.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(apart) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+        FROM final f JOIN kept USING (r) JOIN named n ON n.c = f.c"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_centroid_clustering": _clusters_sql(),
     "op6_benchmark_decontamination": r"""
         WITH texts AS (
             SELECT doc_id, regexp_extract_all(

@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     theirs = con.execute(ORACLES[name])
     columns = [d[0] for d in theirs.description]
