@@ -31,6 +31,7 @@ from rowsieve.operators.profile import (
     low_cardinality_columns,
     profile_columns,
     profile_table,
+    profile_wide,
 )
 from rowsieve.operators.quantiles import exact_quantiles
 from rowsieve.operators.rules import IntRule, RowSchema, Split, StringRule, TimestampRule
@@ -67,6 +68,7 @@ __all__ = [
     "preview",
     "profile_columns",
     "profile_table",
+    "profile_wide",
     "unmatched",
     "verify",
 ]

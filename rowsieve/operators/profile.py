@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.functions import column, type_class
+from rowsieve.functions import column, literal_rows, type_class
 from rowsieve.functions.scalar import BOOLEAN_BIT, FRACTIONAL_BIT, INTEGRAL_BIT, STRING_BIT
 
 UNKNOWN, FRACTIONAL, INTEGRAL = "Unknown", "Fractional", "Integral"
@@ -101,6 +101,57 @@ def profile_columns(
     return values.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
+def profile_wide(
+    df: DataFrame, *, rsd: float = 0.05, distinct: bool = True, statistics: bool = True
+) -> DataFrame:
+    """``profile_columns`` for tables of many columns: the same facts from one narrow aggregate.
+
+    Every row becomes one (column number, value) entry per column, and entries are added up by
+    column within each task before the shuffle. The plan has a handful of expressions however
+    many columns there are, where one aggregate over all columns outgrows what can be compiled.
+    """
+    entries, named = [], []
+    for i, field in enumerate(df.schema):
+        value, kind = column(field.name), field.dataType
+        is_text, is_number = isinstance(kind, T.StringType), isinstance(kind, T.NumericType)
+        # maps cannot be compared, so they have no distinct count
+        comparable = distinct and "map<" not in kind.simpleString()
+        entries.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                value.isNotNull().alias("there"),
+                (value if is_text else F.lit(None)).cast("string").alias("text"),
+                (value if is_number and statistics else F.lit(None)).cast("double").alias("number"),
+                (F.when(value.isNotNull(), F.xxhash64(value)) if comparable else F.lit(None).cast("bigint")).alias("code"),
+            )
+        )
+        named.append((i, field.name, None if is_text else _declared(kind), comparable))
+    long = df.select(F.inline(F.array(*entries))).withColumn("class", type_class(F.col("text")))
+    if statistics:
+        is_numeric = F.col("class").isin(INTEGRAL_BIT, FRACTIONAL_BIT)
+        parsed = F.when(is_numeric, F.col("text").try_cast("double"))
+        long = long.withColumn("number", F.coalesce("number", parsed))
+    aggregates = [F.count(F.lit(1)).alias("n"), F.count_if("there").alias("there"), F.bit_or("class").alias("class")]
+    if distinct:
+        aggregates.append(F.approx_count_distinct("code", rsd).alias("distinct"))
+    if statistics:
+        aggregates += [aggregate("number").alias(name) for name, aggregate in _STATISTICS.items()]
+    found = long.groupBy("i").agg(*aggregates)
+    types = {"i": "int", "column": "string", "declared": "string", "comparable": "boolean"}
+    rows = literal_rows(df.sparkSession, named, types).join(F.broadcast(found), "i", "left")
+    is_text, inferred = F.col("declared").isNull(), F.coalesce("declared", _inferred(F.col("class")))
+    facts = {
+        "column": F.col("column"),
+        "completeness": F.try_divide(F.col("there"), F.col("n")),
+        "inferred_datatype": inferred,
+    }
+    if distinct:
+        facts["approx_distinct_values"] = F.when(F.col("comparable"), F.coalesce("distinct", F.lit(0)).cast("bigint"))
+    for name in _STATISTICS if statistics else ():
+        facts[name] = F.when(~is_text | inferred.isin(INTEGRAL, FRACTIONAL), F.col(name))
+    return rows.select(*[fact.alias(name) for name, fact in facts.items()])
+
+
 def profile_table(profile: DataFrame, timestamp: int) -> DataFrame:
     """The short profile, stamped with the run's epoch seconds."""
     return profile.select(

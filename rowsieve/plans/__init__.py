@@ -3,9 +3,19 @@
 from rowsieve.plans.jobs import (
     GateOutcome,
     ProfileOutcome,
+    published_gate,
     run_gate,
     run_profile,
+    run_published_gate,
     run_verification,
 )
 
-__all__ = ["GateOutcome", "ProfileOutcome", "run_gate", "run_profile", "run_verification"]
+__all__ = [
+    "GateOutcome",
+    "ProfileOutcome",
+    "published_gate",
+    "run_gate",
+    "run_profile",
+    "run_published_gate",
+    "run_verification",
+]

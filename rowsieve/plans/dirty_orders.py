@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowsieve.operators import RowSchema
 
-_COLUMNS = {
+COLUMNS = {
     "order_id": """CASE WHEN o_orderkey % 97 = 0 THEN 'x' || CAST(o_orderkey AS STRING)
         WHEN o_orderkey % 89 = 0 THEN '99999999999'
         ELSE CAST(o_orderkey AS STRING) END""",
@@ -30,7 +30,7 @@ _COLUMNS = {
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.selectExpr(*[f"{text} AS {name}" for name, text in _COLUMNS.items()])
+    return orders.selectExpr(*[f"{text} AS {name}" for name, text in COLUMNS.items()])
 
 
 def order_rules(*, full_match: bool = False) -> RowSchema:
@@ -44,7 +44,7 @@ def order_rules(*, full_match: bool = False) -> RowSchema:
     )
 
 
-RAW_SQL = "SELECT " + ", ".join(f"{text} AS {name}" for name, text in _COLUMNS.items()) + " FROM orders"
+RAW_SQL = "SELECT " + ", ".join(f"{text} AS {name}" for name, text in COLUMNS.items()) + " FROM orders"
 
 _INT = r"""({0} IS NULL OR (regexp_full_match(trim({0}), '[+-]?\d+')
     AND TRY_CAST(trim({0}) AS INTEGER) IS NOT NULL))"""

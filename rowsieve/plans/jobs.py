@@ -29,6 +29,7 @@ from rowsieve.sources.history import (
     append_run_metrics,
     run_metrics,
 )
+from rowsieve.sources.publication import new_run, publish, published
 from rowsieve.sources.scratch import discard, fresh_path
 from rowsieve.sources.sinks import (
     write_invalid_csv,
@@ -122,6 +123,39 @@ def run_gate(
     return GateOutcome(num_valid, num_invalid, valid_orc, valid_csv, invalid_csv, gauges)
 
 
+def run_published_gate(
+    df: DataFrame,
+    schema: RowSchema,
+    out_dir: str,
+    name: str,
+    *,
+    metrics_path: str | None = None,
+    end_millis: int | None = None,
+    **options: object,
+) -> GateOutcome:
+    """``run_gate`` whose three outputs replace those of the run before all at once.
+
+    Outputs lie under ``out_dir/name``, a folder per run; ``published_gate`` tells the current
+    ones. If a write fails, those of the run before stay current and whole.
+    """
+    base = f"{out_dir.rstrip('/')}/{name}"
+    done = run_gate(df, schema, new_run(base), name, end_millis=end_millis, **options)
+    publish(
+        df.sparkSession,
+        base,
+        {"valid_orc": done.valid_orc, "valid_csv": done.valid_csv, "invalid_csv": done.invalid_csv},
+    )
+    if metrics_path is not None:
+        ended = time.time_ns() // 1_000_000 if end_millis is None else end_millis
+        append_run_metrics(done.gauges, metrics_path, end_millis=ended)
+    return done
+
+
+def published_gate(spark: SparkSession, out_dir: str, name: str) -> dict[str, str]:
+    """Paths of the current outputs of a published gate: valid_orc, valid_csv, invalid_csv."""
+    return published(spark, f"{out_dir.rstrip('/')}/{name}")
+
+
 def run_verification(
     df: DataFrame, checks: Sequence[Check], history_path: str, key: ResultKey
 ) -> Verification:

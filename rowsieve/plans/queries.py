@@ -33,6 +33,7 @@ from rowsieve.operators import (
     preview,
     profile_columns,
     profile_table,
+    profile_wide,
     unmatched,
     verify,
 )
@@ -40,6 +41,7 @@ from rowsieve.operators.enrich import MATCHED
 from rowsieve.operators.metrics import frequencies
 from rowsieve.operators.rules import FAILED, IS_VALID, RowSchema
 from rowsieve.plans.dirty_orders import (
+    COLUMNS,
     RAW_SQL,
     TESTS_SQL,
     TYPED_SQL,
@@ -48,14 +50,22 @@ from rowsieve.plans.dirty_orders import (
     order_rules,
     orders_raw,
 )
-from rowsieve.plans.jobs import run_gate, run_profile, run_verification
+from rowsieve.plans.jobs import (
+    published_gate,
+    run_gate,
+    run_profile,
+    run_published_gate,
+    run_verification,
+)
 from rowsieve.sources import (
     ResultKey,
     append_metrics,
+    compact_history,
     fresh_path,
     integer_range,
     read_delimited,
     read_history,
+    read_run_metrics,
     run_metrics,
     success_metrics,
     write_invalid_csv,
@@ -331,6 +341,114 @@ def gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, [*counts, gauges])
 
 
+# What the three outputs of a gate over ``{source}`` hold, as text; dates by their day.
+_TYPED_TEXT_SQL = """CAST(CAST(trim(order_id) AS INTEGER) AS VARCHAR) AS order_id,
+    CAST(CAST(trim(cust_id) AS INTEGER) AS VARCHAR) AS cust_id, status, priority_code, order_date"""
+
+
+def gate_contents_sql(source: str = RAW_SQL, extra: str = "") -> str:
+    flagged = f"({flagged_sql(source=source)}) flagged"
+    return f"""SELECT 'valid_orc' AS output, {_TYPED_TEXT_SQL}{extra}, '' AS failed FROM {flagged} WHERE is_valid
+        UNION ALL SELECT 'valid_csv', {_TYPED_TEXT_SQL}{extra}, '' FROM {flagged} WHERE is_valid
+        UNION ALL SELECT 'invalid_csv', order_id, cust_id, status, priority_code, order_date{extra},
+            concat_ws('|', {_FAILED_SQL}) FROM {flagged} WHERE NOT is_valid"""
+
+
+def gate_contents(spark: SparkSession, paths: dict[str, str], *extra: str, reasons: bool = True) -> DataFrame:
+    """All rows of a gate's outputs as text, dates by their day, with the output's name."""
+    names = ["order_id", "cust_id", "status", "priority_code", "order_date", *extra]
+    text = ", ".join(f"{name} string" for name in names)
+    invalid = text + (", failed string" if reasons else "")
+    parts = {
+        "valid_orc": spark.read.orc(paths["valid_orc"]).select(*names),
+        "valid_csv": read_delimited(spark, paths["valid_csv"], sep=",", header=False, schema=text),
+        "invalid_csv": read_delimited(spark, paths["invalid_csv"], sep=",", header=False, schema=invalid),
+    }
+    rows = []
+    for name, part in parts.items():
+        day = F.col("order_date").cast("string")
+        if name != "invalid_csv":
+            part = part.withColumn("order_date", F.substring(day, 1, 10))
+        failed = F.col("failed") if "failed" in part.columns else F.lit("")
+        texts = [F.col(x).cast("string").alias(x) for x in names]
+        rows.append(part.select(F.lit(name).alias("output"), *texts, failed.alias("failed")))
+    return reduce(DataFrame.unionAll, rows)
+
+
+def _paths(done) -> dict[str, str]:
+    return {"valid_orc": done.valid_orc, "valid_csv": done.valid_csv, "invalid_csv": done.invalid_csv}
+
+
+@registered(gate_contents_sql())
+def gate_from_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over a delimited file read as text, and every row of its three outputs."""
+    raw, path = orders_raw(spark, sf_dir), fresh_path(spark, "raw-tsv")
+    raw.write.csv(path, sep="\t", header=True)
+    done = run_gate(
+        read_delimited(spark, path),
+        order_rules(),
+        fresh_path(spark, "gate-tsv"),
+        "orders",
+        dataset="orders.tsv",
+        reasons=True,
+    )
+    return gate_contents(spark, _paths(done))
+
+
+@registered(gate_contents_sql(_ENRICHED_SQL, ", description"))
+def enriched_gate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over enriched rows: every row of its outputs, the quarantined ones with reasons."""
+    enriched = enrich(
+        orders_raw(spark, sf_dir), status_lookup(spark), {"status": "code"}, ["description"]
+    )
+    done = run_gate(
+        enriched,
+        order_rules(),
+        fresh_path(spark, "gate-enriched"),
+        "orders",
+        dataset="orders_raw",
+        reasons=True,
+    )
+    return gate_contents(spark, _paths(done), "description")
+
+
+@registered(
+    f"""SELECT order_id, cust_id, status, priority_code, order_date, description,
+        concat_ws('|', {_FAILED_SQL}) AS failed
+    FROM ({flagged_sql(source=_ENRICHED_SQL)}) flagged WHERE NOT is_valid"""
+)
+def enriched_gate_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enriched = enrich(
+        orders_raw(spark, sf_dir), status_lookup(spark), {"status": "code"}, ["description"]
+    )
+    invalid = order_rules().split(enriched, reasons=True).invalid
+    return invalid.withColumn(FAILED, F.concat_ws("|", FAILED)).withColumnRenamed(FAILED, "failed")
+
+
+_URGENT_SQL = f"SELECT * FROM ({RAW_SQL}) raw WHERE priority_code LIKE '1%'"
+
+
+@registered(gate_contents_sql(_URGENT_SQL))
+def gate_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two published runs of one gate, then one that breaks off: the second one's rows are current."""
+    raw, out = orders_raw(spark, sf_dir), fresh_path(spark, "gate-published")
+    rules = order_rules()
+
+    def publish(df: DataFrame) -> None:
+        run_published_gate(df, rules, out, "orders", dataset="orders_raw", reasons=True)
+
+    publish(raw)
+    publish(raw.where("priority_code LIKE '1%'"))
+    try:
+        publish(raw.where(F.assert_true(F.col("order_id").isNull()).isNull()))
+    except Exception as broken:  # the third run meets a row that it must not
+        if "is not true" not in str(broken):
+            raise
+    else:
+        raise AssertionError("the third run was to break off")
+    return gate_contents(spark, published_gate(spark, out, "orders"))
+
+
 @registered(
     """SELECT count(*) AS num_ids, min(id) AS first_id, max(id) AS last_id,
         CAST(sum(id) AS BIGINT) AS sum_ids, count(o_orderkey) AS num_orders
@@ -755,6 +873,93 @@ def run_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered(
+    f"""WITH whole AS ({_COUNTS_SQL.format(flagged_sql())}),
+        urgent AS ({_COUNTS_SQL.format(flagged_sql(source=_URGENT_SQL))}),
+        runs AS (SELECT 'whole' AS job, 1700000007100 AS ts, DATE '2023-11-14' AS ds, 7 AS sec, * FROM whole
+            UNION ALL SELECT 'urgent', 1700086402000, DATE '2023-11-15', 2, * FROM urgent)
+    SELECT job, metric, value, CAST(ts AS BIGINT) AS ts, CAST(ds AS VARCHAR) AS day, 'orders_raw' AS dataset FROM (
+        SELECT *, 'num_Valid_Rows_count' AS metric, CAST(num_valid_rows AS DOUBLE) AS value FROM runs
+        UNION ALL SELECT *, 'num_Invalid_Rows_count', CAST(num_invalid_rows AS DOUBLE) FROM runs
+        UNION ALL SELECT *, 'job_total_duration_sec', CAST(sec AS DOUBLE) FROM runs)"""
+)
+def gate_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gauges that three gate runs append to a table, read back without the run of the last day."""
+    raw, path = orders_raw(spark, sf_dir), fresh_path(spark, "gauges")
+    urgent = raw.where("priority_code LIKE '1%'")
+    runs = [
+        ("whole", raw, 1_700_000_000_900, 1_700_000_007_100),
+        ("urgent", urgent, 1_700_086_400_000, 1_700_086_402_000),
+        ("late", urgent, 1_700_200_000_000, 1_700_200_002_000),
+    ]
+    for job, source, start, end in runs:
+        run_gate(
+            source,
+            order_rules(),
+            fresh_path(spark, "gate-gauges"),
+            job,
+            dataset="orders_raw",
+            metrics_path=path,
+            start_millis=start,
+            end_millis=end,
+        )
+    stored = read_run_metrics(spark, path, first_day="2023-11-14", last_day="2023-11-16")
+    labels, day = F.col("labels")["dataset"].alias("dataset"), F.col("ds").cast("string").alias("day")
+    return stored.select("job", "metric", "value", "ts", day, labels)
+
+
+_DAY_MILLIS = 86_400_000
+
+
+def _daily_metrics_sql(first: int, last: int) -> str:
+    return " UNION ALL ".join(
+        metrics_sql(
+            [
+                ("Dataset", "*", "Size", f"SELECT count(*) FROM orders WHERE o_orderkey % 7 = {day}"),
+                ("Column", "o_totalprice", "Maximum",
+                 f"SELECT max(o_totalprice) FROM orders WHERE o_orderkey % 7 = {day}"),
+            ],
+            1_700_000_000_000 + day * _DAY_MILLIS,
+            "daily",
+        )
+        for day in range(first, last + 1)
+    )
+
+
+def _append_day(spark: SparkSession, sf_dir: str, path: str, day: int) -> None:
+    part = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 7 == day)
+    key = ResultKey(1_700_000_000_000 + day * _DAY_MILLIS, {"tag": "daily"})
+    append_metrics(compute_metrics(part, [Size(), Maximum("o_totalprice")]), path, key)
+
+
+@registered(_daily_metrics_sql(2, 4))
+def history_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of a week, of which the days asked for leave out those before and after."""
+    path = fresh_path(spark, "history-days")
+    for day in range(7):
+        _append_day(spark, sf_dir, path, day)
+    history = read_history(spark, path, first_day="2023-11-16", last_day="2023-11-18")
+    return rounded(success_metrics(history, ["tag"]), "value", digits=4)
+
+
+@registered(_daily_metrics_sql(1, 6))
+def history_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs gathered in a snapshot twice, one of them written anew, and runs after it."""
+    path, orders = fresh_path(spark, "history-compacted"), table(spark, sf_dir, "orders")
+    stale = ResultKey(1_700_000_000_000 + _DAY_MILLIS, {"tag": "daily"})
+    append_metrics(compute_metrics(orders, [Size()]), path, stale)
+    for day in (0, 1, 2):
+        _append_day(spark, sf_dir, path, day)
+    compact_history(spark, path)
+    for day in (3, 4):
+        _append_day(spark, sf_dir, path, day)
+    compact_history(spark, path)
+    for day in (5, 6):
+        _append_day(spark, sf_dir, path, day)
+    history = read_history(spark, path, tags={"tag": "daily"}, first_day="2023-11-15")
+    return rounded(success_metrics(history, ["tag"]), "value", digits=4)
+
+
 @registered(
     """SELECT run, status, name, value FROM (VALUES
         ('first', 'Error', 'Size', (SELECT CAST(count(*) AS DOUBLE) FROM customer)),
@@ -833,6 +1038,69 @@ def profile_table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(both, "completeness")
 
 
+_DISTINCT_SQL = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "column", count(DISTINCT {name}) AS num_distinct FROM {source}"""
+    for source, names in (("customer", _CUSTOMER_TYPES), (_RAW, COLUMNS))
+    for name in names
+)
+
+
+@registered(
+    f"""SELECT "column", round(completeness, 6) AS completeness, inferred_datatype, num_distinct,
+        TRUE AS approx_is_close, CAST(1700000000 AS BIGINT) AS timestamp
+    FROM ({" UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", count({name}) / count(*) AS completeness,"
+        f" '{kind}' AS inferred_datatype FROM customer"
+        for name, kind in _CUSTOMER_TYPES.items())}
+    UNION ALL {text_types_sql(_RAW, list(COLUMNS))})
+    JOIN ({_DISTINCT_SQL}) USING ("column")"""
+)
+def profile_table_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the short profile; its distinct counts are held against exact ones, within a fifth."""
+    parts = []
+    for df in (table(spark, sf_dir, "customer"), orders_raw(spark, sf_dir)):
+        names = df.columns
+        profile = profile_table(profile_columns(df, statistics=False), 1_700_000_000)
+        groups = frequencies(df, [[column(name)] for name in names])
+        exact = groups.groupBy("key_no").agg(F.count(F.lit(1)).alias("num_distinct"))
+        label = F.element_at(F.array(*map(F.lit, names)), F.col("key_no") + 1).alias("column")
+        parts.append(profile.join(exact.select(label, "num_distinct"), "column"))
+    apart = F.abs(F.col("approx_distinct_values") - F.col("num_distinct"))
+    close = (apart <= 0.2 * F.col("num_distinct")).alias("approx_is_close")
+    return rounded(reduce(DataFrame.unionAll, parts), "completeness").select(
+        "column", "completeness", "inferred_datatype", "num_distinct", close, "timestamp"
+    )
+
+
+# The raw orders 30 times side by side, each time with other rows blanked: 150 columns of text.
+_WIDE = [
+    f"CASE WHEN o_orderkey % {k + 2} = 0 THEN NULL ELSE {text} END AS {name}_{k}"
+    for k in range(30)
+    for name, text in COLUMNS.items()
+]
+
+
+@registered(
+    f"""WITH wide AS (SELECT {", ".join(_WIDE)} FROM orders),
+        long AS (SELECT "column", v, {_CLASS_SQL} AS class
+            FROM wide UNPIVOT INCLUDE NULLS (v FOR "column" IN (COLUMNS(*)))),
+        facts AS (SELECT "column", count(v) / count(*) AS completeness, {_TYPE_SQL} AS kind,
+            min(x) AS low, max(x) AS high, avg(x) AS mean, stddev_pop(x) AS spread
+            FROM (SELECT *, CASE WHEN class IN ('I', 'F') THEN TRY_CAST(v AS DOUBLE) END AS x FROM long)
+            GROUP BY "column")
+    SELECT "column", round(completeness, 6) AS completeness, kind AS inferred_datatype,
+        {", ".join(f"CASE WHEN kind IN ('Integral', 'Fractional') THEN round({fact}, 6) END AS {name}"
+                   for name, fact in (("minimum", "low"), ("maximum", "high"), ("mean", "mean"), ("std_dev", "spread")))}
+    FROM facts""",
+    name="profile_wide",
+)
+def profile_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of 150 text columns, profiled by one aggregate over (column, value) entries."""
+    wide = table(spark, sf_dir, "orders").selectExpr(*_WIDE)
+    facts = profile_wide(wide, distinct=False)
+    return rounded(facts, "completeness", "minimum", "maximum", "mean", "std_dev")
+
+
 # Lineitem as text, one column per way a type can come out.
 _LINEITEM_TEXTS = [
     "CAST(l_linenumber AS STRING) AS line",
@@ -872,6 +1140,28 @@ def profile_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile, "completeness", "minimum", "maximum")
 
 
+_TEXT_NUMBERS = ["line", "quantity", "mixed_number"]
+
+
+@registered(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", round(avg(TRY_CAST({name} AS DOUBLE)), 6) AS mean,
+            round(stddev_pop(TRY_CAST({name} AS DOUBLE)), 6) AS std_dev FROM {_LINEITEM_TEXT}"""
+        for name in _TEXT_NUMBERS
+    )
+    + " UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT '{name}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)"
+        for name in ("flag", "flag_or_number", "shipdate", "nothing", "letter")
+    )
+)
+def profile_text_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and standard deviation of text that is numeric throughout, null for other text."""
+    texts = table(spark, sf_dir, "lineitem").selectExpr(*_LINEITEM_TEXTS)
+    profile = profile_columns(texts, distinct=False).select("column", "mean", "std_dev")
+    return rounded(profile, "mean", "std_dev")
+
+
 @registered(
     " UNION ALL ".join(
         f"""SELECT '{name}' AS "column", count(DISTINCT {name}) AS num_distinct, TRUE AS approx_is_close
@@ -985,6 +1275,29 @@ def profile_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(facts, "completeness", "minimum", "maximum")
 
 
+@registered(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", round(avg({name}), 4) AS mean, round(stddev_pop({name}), 4) AS std_dev,
+            (SELECT count(DISTINCT {name}) FROM customer) AS num_distinct, TRUE AS approx_is_close FROM customer"""
+        if kind != "String"
+        else f"""SELECT '{name}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+            (SELECT count(DISTINCT {name}) FROM customer), TRUE"""
+        for name, kind in _CUSTOMER_TYPES.items()
+    )
+)
+def profile_json_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other facts of a stored profile: spread, and distinct counts against exact ones."""
+    customer = table(spark, sf_dir, "customer")
+    done = run_profile(customer, fresh_path(spark, "profile"), "customer", "2023-11-14T22:13:20.000Z")
+    groups = frequencies(customer, [[column(name)] for name in customer.columns])
+    exact = groups.groupBy("key_no").agg(F.count(F.lit(1)).alias("num_distinct"))
+    label = F.element_at(F.array(*map(F.lit, customer.columns)), F.col("key_no") + 1).alias("column")
+    facts = done.profile.join(exact.select(label, "num_distinct"), "column")
+    close = F.abs(F.col("approx_distinct_values") - F.col("num_distinct")) <= 0.2 * F.col("num_distinct")
+    kept = facts.select("column", "mean", "std_dev", "num_distinct", close.alias("approx_is_close"))
+    return rounded(kept, "mean", "std_dev", digits=4)
+
+
 @registered(histogram_sql("customer", ["c_nationkey", "c_mktsegment"]))
 def profile_run_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The histograms that a profile run chooses by itself."""

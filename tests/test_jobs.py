@@ -18,7 +18,8 @@ from rowsieve import (
     run_verification,
     success_metrics,
 )
-from rowsieve.sources import discard, scratch_root
+from rowsieve.plans import jobs, published_gate, run_published_gate
+from rowsieve.sources import discard, retire, scratch_root
 
 NAMES = "id parent product title stars votes vine headline body day".split()
 
@@ -178,3 +179,34 @@ def test_profile(spark, source, tmp_path):
 def test_profile_without_low_cardinality_columns(spark, tmp_path):
     done = run_profile(spark.range(1000), str(tmp_path), "ids", "2023-11-14T22:13:20Z", threshold=5)
     assert done.histograms is None
+
+
+def test_a_broken_run_leaves_the_published_outputs_whole(spark, source, tmp_path, monkeypatch):
+    """Whichever of the three writes fails, readers see the run before, all of it."""
+
+    def rows():
+        paths = published_gate(spark, str(tmp_path), "reviews")
+        return [
+            sorted(map(str, spark.read.orc(paths["valid_orc"]).collect())),
+            *[sorted(map(str, spark.read.csv(paths[name]).collect())) for name in ("valid_csv", "invalid_csv")],
+        ]
+
+    with pytest.raises(FileNotFoundError):
+        published_gate(spark, str(tmp_path), "reviews")
+    run_published_gate(source, RULES, str(tmp_path), "reviews", dataset="d")
+    first = rows()
+    assert all(first)
+    for name in ("write_valid_orc", "write_valid_csv", "write_invalid_csv", "publish"):
+        with monkeypatch.context() as patch:
+
+            def fails(*_):
+                raise OSError("disk gone")
+
+            patch.setattr(jobs, name, fails)
+            with pytest.raises(OSError, match="disk gone"):
+                run_published_gate(source.where("false"), RULES, str(tmp_path), "reviews", dataset="d")
+        assert rows() == first
+    metrics = str(tmp_path / "gauges")
+    run_published_gate(source.where("false"), RULES, str(tmp_path), "reviews", dataset="d", metrics_path=metrics)
+    assert rows() == [[], [], []] and spark.read.parquet(metrics).count() == 3
+    assert retire(spark, str(tmp_path / "reviews")) == 1 and rows() == [[], [], []]

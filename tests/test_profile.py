@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowsieve import histograms, low_cardinality_columns, profile_columns, profile_table
+from rowsieve.operators import profile_wide
 
 
 def by_column(df):
@@ -134,3 +135,31 @@ def test_wide_table(spark):
     df = spark.range(50).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(150)])
     rows = by_column(profile_columns(df))
     assert len(rows) == 150 and rows["c149"]["minimum"] == 149.0
+
+
+def test_wide_profile_equals_the_narrow_one(spark):
+    """Types of every kind, nulls, faulty numbers, an empty table, odd names."""
+    df = spark.sql(
+        """SELECT CAST(id AS INT) AS i, CAST(id % 5 AS DOUBLE) AS `a.b`, CAST(id AS STRING) AS num,
+            CASE WHEN id % 3 = 0 THEN NULL ELSE CAST(id / 4 AS STRING) END AS frac,
+            CASE WHEN id = 7 THEN 'x' ELSE CAST(id AS STRING) END AS mixed,
+            CAST(id % 2 = 0 AS STRING) AS flag, id % 2 = 0 AS truth, CAST(NULL AS STRING) AS nothing,
+            DATE'2020-01-01' AS day, array(id) AS list, map('k', id) AS pairs, CAST(id AS DECIMAL(10, 2)) AS money
+        FROM range(40)"""
+    )
+    for rows in (df, df.where("i < 0")):
+        narrow, wide = by_column(profile_columns(rows)), by_column(profile_wide(rows))
+        assert narrow.keys() == wide.keys()
+        for name, facts in narrow.items():
+            close = wide[name].pop("approx_distinct_values"), facts.pop("approx_distinct_values")
+            assert close[0] == close[1] or abs(close[0] - close[1]) <= 4
+            assert wide[name] == pytest.approx(facts), name
+    assert profile_wide(df, distinct=False, statistics=False).columns == ["column", "completeness", "inferred_datatype"]
+
+
+def test_wide_profile_stays_narrow_in_its_plan(spark):
+    df = spark.range(50).select(*[(F.col("id") + i).cast("string").alias(f"c{i}") for i in range(150)])
+    wide = profile_wide(df)
+    assert by_column(wide)["c149"]["minimum"] == 149.0
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("approx_count_distinct") == 1

@@ -11,6 +11,7 @@ from rowsieve.functions import day_of_millis
 from rowsieve.sources import (
     append_metrics,
     append_run_metrics,
+    compact_history,
     fresh_path,
     integer_range,
     run_metrics,
@@ -231,3 +232,57 @@ def test_malformed_records_keep_their_text(spark, tmp_path):
     path.write_text("a\tb\n1\t2\n3\t4\t5\n")
     rows = read_delimited(spark, str(path), malformed="_raw").collect()
     assert [tuple(row) for row in rows] == [("1", "2", None), ("3", "4", "3\t4\t5")]
+
+
+def test_compaction_bounds_the_files_read_and_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "history")
+    rows = spark.range(2000).selectExpr(
+        "'Dataset' AS entity", "'*' AS instance", "'Size' AS name", "CAST(id AS DOUBLE) AS value",
+        "id AS dataset_date", "map('tag', CAST(id % 3 AS STRING)) AS tags", "id AS written_at",
+        "date_add(DATE'1970-01-01', CAST(id % 4 AS INT)) AS ds", "format_string('%020d-x', id) AS run",
+    )
+    rows.repartition(8, "run").write.partitionBy("ds", "run").parquet(path)
+
+    def values():
+        return sorted(row["value"] for row in read_history(spark, path).collect())
+
+    def files():
+        return len(read_history(spark, path).inputFiles())
+
+    assert files() == 2000
+    before = values()
+    assert compact_history(spark, path) == 2000
+    assert values() == before and files() <= 4
+    append_metrics(metrics(spark, [("Dataset", "*", "Size", 5000.0)]), path, ResultKey(5))
+    assert values() == [*before, 5000.0] and files() <= 5
+    assert [row["value"] for row in read_history(spark, path, tags={"tag": "1"}, last_day="1970-01-01").collect()]
+    assert compact_history(spark, path) == 1 and values() == [*before, 5000.0] and files() <= 4
+    assert compact_history(spark, path) == 0 and values() == [*before, 5000.0]
+
+
+def test_appends_during_a_compaction_stay(spark, tmp_path, monkeypatch):
+    """One run ends between the listing and the removals, another is still being written."""
+    from rowsieve.sources import history
+
+    path, key = str(tmp_path / "history"), ResultKey(5, {"tag": "a"})
+    append_metrics(metrics(spark, [("Dataset", "*", "Size", 1.0)]), path, key, written_at=1)
+    open_run = append_metrics(metrics(spark, [("Column", "x", "Mean", 2.0)]), path, key, written_at=1)
+    (tmp_path / "history" / open_run.split("/")[-2] / open_run.split("/")[-1] / "_temporary").mkdir()
+    plain = history.rename
+
+    def renamed(*given):
+        append_metrics(metrics(spark, [("Dataset", "*", "Size", 9.0)]), path, key, written_at=2)
+        plain(*given)
+
+    monkeypatch.setattr(history, "rename", renamed)
+    assert compact_history(spark, path) == 1
+    got = {row["name"]: row["value"] for row in read_history(spark, path).collect()}
+    assert got == {"Size": 9.0, "Mean": 2.0}
+
+    def broken(*_):
+        raise OSError("no rename")
+
+    monkeypatch.setattr(history, "rename", broken)
+    with pytest.raises(OSError):
+        compact_history(spark, path)
+    assert {row["name"]: row["value"] for row in read_history(spark, path).collect()} == got
