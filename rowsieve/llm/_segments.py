@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame
 from rowsieve.llm._shared import shuffle_parts
 
 LEAST_SEGMENTS = 1024
-#: Documents whose keys one more segment is opened for.
-DOCS_PER_SEGMENT = 2000
+#: Keys, as far as their number is known beforehand, that one more segment is opened for.
+KEYS_PER_SEGMENT = 1 << 20
 BLOBS = "segment int, keys binary, counts binary"
 
 
-def segment_bits(docs: int) -> int:
-    """log2 of the number of segments for so many documents."""
-    return max(LEAST_SEGMENTS, docs // DOCS_PER_SEGMENT).bit_length() - 1
+def segment_bits(keys: int) -> int:
+    """log2 of the number of segments for so many keys."""
+    return max(LEAST_SEGMENTS, keys // KEYS_PER_SEGMENT).bit_length() - 1
 
 
 def blobs(keys: np.ndarray, counts: np.ndarray, bits: int, short: bool = False) -> pa.RecordBatch:
@@ -48,6 +48,24 @@ def blobs(keys: np.ndarray, counts: np.ndarray, bits: int, short: bool = False)
     )
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, bytes of one rank together: of small ones most bytes are zero and pack well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def packed_sorted(numbers: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers, by what each has beyond the one before."""
+    return packed(np.diff(numbers, prepend=numbers.dtype.type(0)))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint32)
+
+
 def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with the sums of their counts."""
     if counts is None:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.sources.scratch import fresh_path
+from rowsieve.functions import column
+from rowsieve.sources.scratch import discard, fresh_path
 
 # Fixed value: what separates words, the ASCII blanks.
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -26,14 +29,49 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+#: Whether shuffle files go as soon as the write that needed them has ended, and how many bytes
+#: of rows a Python worker is given at a time.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def staged(df: DataFrame, label: str, batch_bytes: int | None = None) -> DataFrame:
     """The rows of ``df``, written to the shared scratch folder and read back.
 
-    A staged table cuts the lineage: a lost executor costs its running tasks only.
+    A staged table cuts the lineage: a lost executor costs its running tasks only. Nothing
+    reads its shuffle files after that, so they are removed. ``batch_bytes`` keeps the batches of Python
+    workers small where rows are large. The settings for both hold for this write alone.
     """
-    path = fresh_path(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, f"llm-{label}")
+    values = {CLEANUP: "true"} | ({BATCH_BYTES: str(batch_bytes)} if batch_bytes else {})
+    with _settings(spark, values):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged_at = path
+    return table
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more; other tables are left alone."""
+    for table in tables:
+        path = getattr(table, "_staged_at", None)
+        if path:
+            discard(table.sparkSession, path)
 
 
 def importable_by_workers(spark: SparkSession) -> None:
@@ -59,13 +97,39 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def join_by_id(left: DataFrame, right: DataFrame, how: str, name: str = "doc_id") -> DataFrame:
-    """Join on an id column in which null equals null; the left side's id stays."""
-    other = right.withColumnRenamed(name, f"_right_{name}")
-    joined = left.join(other, left[name].eqNullSafe(other[f"_right_{name}"]), how)
-    return joined.drop(f"_right_{name}")
+def carried(docs: DataFrame) -> DataFrame:
+    """Every row as the struct ``row``, with doc_id, its text (null as empty) and a hash of that.
+
+    Columns of any name are out of the way in the struct. The id and the hash together, ``ROW_KEY``,
+    tell rows apart but for those equal in id and text.
+    """
+    whole = F.struct(*[column(c) for c in docs.columns]).alias("row")
+    return docs.select(whole, "doc_id", text_of().alias("text"), F.xxhash64(text_of()).alias("tie"))
+
+
+ROW_KEY = ("doc_id", "tie")
+
+
+def uncarried(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows of ``carried``, with the columns that they had."""
+    return rows.select(*[F.col("row")[c].alias(c) for c in like.columns])
+
+
+def join_by(left: DataFrame, right: DataFrame, how: str, *names: str) -> DataFrame:
+    """Join on columns in which null equals null; the left side's stay. For tables of this
+    package's own columns."""
+    other = right.withColumnsRenamed({name: f"_right_{name}" for name in names})
+    on = [left[name].eqNullSafe(other[f"_right_{name}"]) for name in names]
+    return left.join(other, on, how).drop(*[f"_right_{name}" for name in names])
 
 
-def by_hash(sample: DataFrame, most: int, name: str = "doc_id") -> DataFrame:
-    """A fixed sample of at most ``most`` rows: the least by a hash of the id."""
-    return sample.orderBy(F.xxhash64(name), name).limit(most)
+def labelled_sample(labelled: DataFrame, docs: DataFrame, most: int, most_bytes: int | None = None) -> DataFrame:
+    """(doc_id, tie, target) of at most ``most`` labelled texts, a fixed sample: the least by a hash
+    of the id. Of an id with several texts each counts, of equal rows one; ``most_bytes`` leaves longer texts out before
+    the choice, so that it has its full size."""
+    texts = docs.select("doc_id", F.xxhash64(text_of()).alias("tie"), F.octet_length(text_of()).alias("size"))
+    if most_bytes is not None:
+        texts = texts.where(F.col("size") <= most_bytes)
+    known = labelled.where(F.col("target").isNotNull()).select("doc_id", "target").distinct()
+    rows = texts.join(known, "doc_id").select(*ROW_KEY, "target").distinct()
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "tie", "target").limit(most)

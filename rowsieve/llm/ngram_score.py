@@ -8,22 +8,27 @@ factor of two. A word's probability mixes the
 share of its pair among all pairs of the word before (the end mark, for the first one)
 with its own share, smoothed by adding one.
 
-Each segment's part of the filter is sized by what it holds, so that every n-gram is held
-whatever the corpus. The parts stay in a staged table, and no worker needs them all: the
-texts are cut into chunks, the distinct n-grams of a chunk go to their segments, and what
-the filter tells of them comes back to the chunk.
+Every n-gram is held, whatever the corpus, so the filter grows with it and is kept in two parts.
+Each segment's most frequent n-grams, down to a level of its own, make a filter that is
+broadcast; their number is a fixed share of ``MOST_ENTRIES``, which bounds the broadcast. Each
+segment's whole filter, sized by what it holds, is a row of a staged table. The
+texts are cut into chunks, and a chunk's distinct n-grams are probed in the broadcast filter first;
+those that it does not hold go to their segments, and what the filters there tell of them comes
+back to the chunk.
 
 The base score needs exact counts. Words at or above a count are broadcast, with the
 count set such that there are a million of them at most; occurrences of rarer words meet
 their counts in a join, rows that miss there have a count of zero and add nothing.
 
-Words are compared by 64-bit hashes. Null or empty text has only its end. Rows that repeat
-an id are documents of their own. Without training documents all counts are zero. An
-empty table gives an empty result. Extra columns are ignored.
+Words are compared by 64-bit hashes; pairs by the bits of their segment and 32 more, so that few
+pairs are taken for others, and those are told the larger count. Null or empty text has only
+its end. Rows that repeat an id are documents of their own. Without training documents all counts
+are zero. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,18 +38,34 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm import _segments
-from rowsieve.llm._shared import importable_by_workers, remainder_of_id, shuffle_parts, staged, text_of
+from rowsieve.llm._segments import packed, packed_sorted, summed, unpacked, unpacked_sorted
+from rowsieve.llm._shared import (
+    discarded,
+    importable_by_workers,
+    remainder_of_id,
+    shuffle_parts,
+    staged,
+    text_of,
+)
 
 PROBES = 4
 #: Bits of the filter for each n-gram and number held; bounds the rate of false answers.
 BITS_EACH = 8
 PAIR_SHARE = 0.3
 MOST_FREQUENT = 1_000_000
-FLUSH_WORDS = 3_000_000
-#: Tokens of a chunk, but for the last text in it.
-CHUNK_WORDS = 1_000_000
+#: Entries (an n-gram has one for each number it is held with) of the broadcast filter; 8 MB.
+MOST_ENTRIES = 1 << 23
+#: Tokens counted at a time, and tokens of a chunk, but for the last text in either.
+FLUSH_WORDS = 1_000_000
+CHUNK_WORDS = 300_000
 MOST_LEVELS = 62
+LEAST_SEGMENTS = 256
+#: Training tokens that one more segment is opened for.
+TOKENS_PER_SEGMENT = 4_000_000
+#: Bytes of chunks and runs that a worker is given at a time, a few rows.
+GIVEN_BYTES = 4 << 20
+#: Keys of several chunks that a segment's filter is asked for at once.
+ASKED_AT_ONCE = 1 << 19
 
 _U = np.uint64
 _END = 0x51ED270B9F6A8E32
@@ -62,8 +83,8 @@ class Reader:
     def __init__(self, most_kept: int = 500_000):
         self.most, self.kept = most_kept, {}
 
-    def __call__(self, text: str) -> list[int]:
-        kept, out = self.kept, []
+    def __call__(self, text: str) -> array:
+        kept, out = self.kept, array("Q")
         if len(kept) > self.most:
             kept.clear()
         for word in text.encode("utf-8", "surrogatepass").lower().split():
@@ -81,18 +102,6 @@ def _keys(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tokens & ~_U(1), _mix(before * _U(3) + tokens) | _U(1)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    read, tokens = Reader(), []
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            tokens += read(text)
-            if len(tokens) >= FLUSH_WORDS:
-                yield _segments.blobs(*_segments.summed(np.concatenate(_keys(np.array(tokens, _U)))), bits)
-                tokens = []
-    if tokens:
-        yield _segments.blobs(*_segments.summed(np.concatenate(_keys(np.array(tokens, _U)))), bits)
-
-
 def levels_of(counts: np.ndarray) -> np.ndarray:
     """Quantised logarithms of counts, from 1 on."""
     return np.frexp(counts.astype(np.float64))[1]
@@ -109,38 +118,50 @@ def _short(keys: np.ndarray, bits: int) -> np.ndarray:
     return ((keys << _U(bits)) >> _U(32)).astype(np.uint32)
 
 
-def _bits_of(keys: np.ndarray, level: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word of the segment's part, and the bits in it, for keys at a level."""
-    code = _mix(keys + _U(level) * _U(0x9E3779B97F4A7C15))
+def _bits_of(keys: np.ndarray, level: int, words) -> tuple[np.ndarray, np.ndarray]:
+    """Word of the filter, of ``words`` many, and the bits in it, for keys at a level."""
+    code = _mix(keys + _U((level * 0x9E3779B97F4A7C15) & (1 << 64) - 1))
     mask = np.zeros(len(keys), _U)
     for k in range(PROBES):
         mask |= _U(1) << ((code >> _U(6 * k)) & _U(63))
-    return ((code >> _U(32)) & _U(words - 1)).astype(np.int64), mask
+    return (((code >> _U(32)) * np.asarray(words, _U)) >> _U(32)).astype(np.int64), mask
 
 
-MODEL = "segment int, words binary, counts binary, filter binary, total bigint, distinct_words bigint, from_count array<bigint>"
+MODEL = (
+    "segment int, words binary, counts binary, filter binary, top binary, top_level int, "
+    "total bigint, distinct_words bigint, from_count array<bigint>"
+)
+
+
+def _filter(short: np.ndarray, levels: np.ndarray, bits_each: int) -> np.ndarray:
+    """A filter that holds each key with the numbers up to its level."""
+    part = np.zeros(-(-int(levels.sum()) * bits_each // 64), _U)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        at, mask = _bits_of(short[levels >= level], level, len(part))
+        np.bitwise_or.at(part, at, mask)
+    return part
 
 
 def _part(
-    segment: int, keys: np.ndarray, counts: np.ndarray, bits: int, bits_each: int = BITS_EACH
+    segment: int, keys: np.ndarray, counts: np.ndarray, bits: int, bits_each: int = BITS_EACH, most: int = 0
 ) -> pa.RecordBatch:
-    """A segment's words with their counts, and its part of the filter."""
+    """A segment's words with their counts, its filter, and that of its most frequent n-grams,
+    which holds ``most`` entries or fewer."""
     levels, short = levels_of(counts), _short(keys, bits).astype(_U)
-    # A power of two of 64-bit words that gives every entry its bits.
-    words = 1 << ((int(levels.sum()) * bits_each - 1) // 64).bit_length()
-    part = np.zeros(words, _U)
-    for level in range(1, int(levels.max(initial=0)) + 1):
-        at, mask = _bits_of(short[levels >= level], level, words)
-        np.bitwise_or.at(part, at, mask)
     single = (keys & _U(1)) == 0
     own = counts[single]
     steps = [int((own >= 2.0 ** (j / 2)).sum()) for j in range(2 * MOST_LEVELS)]
+    entries = np.cumsum(np.bincount(levels, levels, MOST_LEVELS + 2)[::-1])[::-1]
+    top_level = max(int(np.flatnonzero(entries <= most)[0]), 1)
+    top = levels >= top_level
     return pa.RecordBatch.from_arrays(
         [
             pa.array([segment], pa.int32()),
             pa.array([keys[single].tobytes()], pa.binary()),
             pa.array([own.astype(np.int64).tobytes()], pa.binary()),
-            pa.array([part.tobytes()], pa.binary()),
+            pa.array([_filter(short, levels, bits_each).tobytes()], pa.binary()),
+            pa.array([_filter(short[top], levels[top], bits_each).tobytes()], pa.binary()),
+            pa.array([top_level], pa.int32()),
             pa.array([int(own.sum())], pa.int64()),
             pa.array([len(own)], pa.int64()),
             pa.array([steps], pa.list_(pa.int64())),
@@ -160,21 +181,42 @@ def _words(batches: Iterator[pa.RecordBatch], least: float, most: float) -> Iter
             )
 
 
-def told(part: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Levels of short keys as a segment's filter tells them: probe for 1, 2, ... until it
-    says no."""
+def told(part: np.ndarray, keys: np.ndarray, first=0, size=None) -> np.ndarray:
+    """Levels of short keys as a filter tells them: probe for 1, 2, ... until it says no.
+
+    ``first`` and ``size`` say where in ``part`` the filter of each key lies, if not all of it is."""
     keys = keys.astype(_U)
+    first, size = (np.broadcast_to(x, len(keys)) for x in (first, len(part) if size is None else size))
     levels = np.zeros(len(keys), np.uint8)
-    alive = np.arange(len(keys)) if len(part) else np.array([], np.int64)
+    alive = np.flatnonzero(size)
     for level in range(1, MOST_LEVELS + 1):
-        at, mask = _bits_of(keys[alive], level, len(part))
-        alive = alive[(part[at] & mask) == mask]
+        at, mask = _bits_of(keys[alive], level, size[alive])
+        alive = alive[(part[first[alive] + at] & mask) == mask]
         if not len(alive):
             break
         levels[alive] = level
     return levels
 
 
+class Frequent:
+    """The broadcast filter: one part for each segment, and the least level that it holds."""
+
+    def __init__(self, bits: int, tops: dict[int, tuple[bytes, int]]):
+        self.bits = bits
+        # A segment without a part has counted nothing, and that is known as well.
+        parts = [np.frombuffer(tops.get(k, (b"", 1))[0], _U) for k in range(1 << bits)]
+        self.size = np.array([len(p) for p in parts], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.least = np.array([tops.get(k, (b"", 1))[1] for k in range(1 << bits)], np.uint8)
+        self.part = np.concatenate([*parts, np.array([], _U)])
+
+    def told(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Levels of keys, and which of them are settled: held, or sure to be held if there."""
+        at = (keys >> _U(64 - self.bits)).astype(np.int64)
+        levels = told(self.part, _short(keys, self.bits), self.first[at], self.size[at])
+        return levels, (levels >= self.least[at]) | (self.least[at] == 1)
+
+
 class Model:
     """Sums over all words, the exact counts of frequent ones, and one segment's filter or none."""
 
@@ -204,105 +246,215 @@ class Model:
         return np.log10(np.where(before > 0, PAIR_SHARE * share + (1 - PAIR_SHARE) * alone, alone))
 
 
-# A chunk's number is that of its first row. A row holds a chunk's texts (segment -1), or
-# what belongs to one of its segments: keys asked for, and then the levels told.
-CHUNKS = "chunk bigint, segment int, data binary, doc_ids array<bigint>, ends array<bigint>, vocabulary binary"
+# A chunk's number is that of its first row.
+CHUNKS = (
+    "chunk bigint, segment int, data binary, doc_ids array<bigint>, teaches array<boolean>, "
+    "ends array<bigint>, vocabulary binary"
+)
 CHUNK_SCHEMA = pa.schema(
     [
         ("chunk", pa.int64()),
         ("segment", pa.int32()),
         ("data", pa.binary()),
         ("doc_ids", pa.list_(pa.int64())),
+        ("teaches", pa.list_(pa.bool_())),
         ("ends", pa.list_(pa.int64())),
         ("vocabulary", pa.binary()),
     ]
 )
+#: What passes between chunks and segments: keys asked for, and then the levels told.
+ASKED = "chunk bigint, segment int, data binary"
 
 
-def _chunk_rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * len(CHUNK_SCHEMA)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(values, field.type) for values, field in zip(columns, CHUNK_SCHEMA)], schema=CHUNK_SCHEMA
-    )
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: a batch may hold many large ones."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
 
 
 def _chunked(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Texts as places of their tokens in their chunk's vocabulary."""
     read, row = Reader(), TaskContext.get().partitionId() << 33
-    ids, ends, flat = [], [], []
+    ids, teaches, ends, flat = [], [], [], array("Q")
 
     def done() -> pa.RecordBatch:
-        vocabulary, at, n = np.unique(np.array(flat, _U), return_inverse=True, return_counts=True)
-        # Frequent ones first, and bytes of one rank together: most high ones are zero and pack well.
+        vocabulary, at, n = np.unique(np.frombuffer(flat, _U), return_inverse=True, return_counts=True)
+        # Frequent ones first, so that most high bytes of places are zero and pack well.
         order = np.argsort(-n, kind="stable")
         place = np.empty(len(order), "<u4")
         place[order] = np.arange(len(order))
-        data = place[at].view(np.uint8).reshape(-1, 4).T.tobytes()
-        return _chunk_rows([(row, -1, data, ids, ends, vocabulary[order].tobytes())])
+        columns = (row, -1, packed(place[at]), ids, teaches, ends, vocabulary[order].tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], field.type) for v, field in zip(columns, CHUNK_SCHEMA)], schema=CHUNK_SCHEMA
+        )
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            flat += read(text)
-            ids.append(doc_id)
+        for doc_id, text, teach in zip(*(batch.column(c) for c in ("doc_id", "text", "teaches"))):
+            flat.extend(read(text.as_py()))
+            ids.append(doc_id.as_py())
+            teaches.append(teach.as_py())
             ends.append(len(flat))
             if len(flat) >= most:
                 yield done()
                 row += len(ids)
-                ids, ends, flat = [], [], []
+                ids, teaches, ends, flat = [], [], [], array("Q")
     if ids:
         yield done()
 
 
 def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """A chunk's vocabulary, and the place of each token in it."""
-    places = np.frombuffer(row["data"], np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-    return np.frombuffer(row["vocabulary"], _U), places
+    return np.frombuffer(row["vocabulary"], _U), unpacked(row["data"])
 
 
-def _asked(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """The distinct keys of each chunk, one row per segment."""
-    edges = np.arange(1 << bits, dtype=_U) << _U(64 - bits)
-    for batch in batches:
-        for row in batch.to_pylist():
-            vocabulary, places = _tokens(row)
-            keys = np.unique(np.concatenate(_keys(vocabulary[places])))
-            short = _short(keys, bits)
-            at = np.append(np.searchsorted(keys, edges), len(keys))
-            full = np.flatnonzero(np.diff(at))
-            yield _chunk_rows(
-                [(row["chunk"], int(s), short[at[s] : at[s + 1]].tobytes(), None, None, None) for s in full]
+COUNTED = "segment int, words binary, word_counts binary, pairs binary, pair_counts binary"
+
+
+def _edges(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where each segment begins among sorted keys, and their end."""
+    return np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=_U) << _U(64 - bits)), len(keys))
+
+
+def _counted(batches: Iterator[pa.RecordBatch], bits: int, most: int = FLUSH_WORDS) -> Iterator[pa.RecordBatch]:
+    """Words and pairs of what teaches, counted, one row per segment."""
+    held: list[np.ndarray] = []
+
+    def done() -> pa.RecordBatch:
+        singles, pairs = _keys(np.concatenate(held))
+        columns: list[list] = [[] for _ in range(5)]
+        words, counts = summed(singles)
+        pairs, often = summed(pairs)
+        at, pair_at = _edges(words, bits), _edges(pairs, bits)
+        for k in np.flatnonzero(np.diff(at) + np.diff(pair_at)):
+            own, both = slice(at[k], at[k + 1]), slice(pair_at[k], pair_at[k + 1])
+            row = (
+                int(k),
+                words[own].tobytes(),
+                packed(counts[own]),
+                packed_sorted(_short(pairs[both], bits)),
+                packed(often[both]),
             )
+            for column, value in zip(columns, row):
+                column.append(value)
+        kinds = [pa.int32(), *[pa.binary()] * 4]
+        names = [c.split()[0] for c in COUNTED.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    size = 0
+    for row in _rows(batches):
+        vocabulary, places = _tokens(row)
+        sizes = np.diff(np.append(0, row["ends"]))
+        taught = vocabulary[places[np.repeat(np.array(row["teaches"], bool), sizes)]]
+        if len(taught):
+            held.append(taught)
+            size += len(taught)
+        if size >= most:
+            yield done()
+            held, size = [], 0
+    if held:
+        yield done()
+
+
+def _parts(batches: Iterator[pa.RecordBatch], bits: int, bits_each: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Each segment's runs, which follow one another, as its row of the model."""
+
+    def done(segment: int, runs: list[dict]) -> pa.RecordBatch:
+        words, counts = summed(
+            np.concatenate([np.frombuffer(r["words"], _U) for r in runs]),
+            np.concatenate([unpacked(r["word_counts"]) for r in runs]).astype(np.int64),
+        )
+        pairs, often = summed(
+            np.concatenate([unpacked_sorted(r["pairs"]) for r in runs]),
+            np.concatenate([unpacked(r["pair_counts"]) for r in runs]).astype(np.int64),
+        )
+        whole = (_U(segment) << _U(64 - bits)) | (pairs.astype(_U) << _U(32 - bits)) | _U(1)
+        return _part(segment, np.append(words, whole), np.append(counts, often), bits, bits_each, most >> bits)
+
+    at, runs = None, []
+    for row in _rows(batches):
+        if row["segment"] != at and runs:
+            yield done(at, runs)
+            runs = []
+        at = row["segment"]
+        runs.append(row)
+    if runs:
+        yield done(at, runs)
+
+
+def _asked(batches: Iterator[pa.RecordBatch], frequent) -> Iterator[pa.RecordBatch]:
+    """The distinct keys of each chunk that the broadcast filter leaves open, one row per segment."""
+    frequent = frequent.value
+    bits = frequent.bits
+    for row in _rows(batches):
+        vocabulary, places = _tokens(row)
+        keys = np.unique(np.concatenate(_keys(vocabulary[places])))
+        keys = keys[~frequent.told(keys)[1]]
+        short, at = _short(keys, bits), _edges(keys, bits)
+        full = np.flatnonzero(np.diff(at))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([row["chunk"]] * len(full), pa.int64()),
+                pa.array(full.astype(np.int32)),
+                pa.array([packed_sorted(short[at[k] : at[k + 1]]) for k in full], pa.binary()),
+            ],
+            ["chunk", "segment", "data"],
+        )
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Levels of the keys asked for; each segment's filter (chunk -1) comes before them."""
     at, part = None, np.array([], _U)
+    chunks: list[int] = []
+    keys: list[np.ndarray] = []
+    size = 0
+
+    def done() -> pa.RecordBatch:
+        ends = np.cumsum([len(k) for k in keys])
+        levels = told(part, np.concatenate(keys))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(chunks, pa.int64()),
+                pa.array([at] * len(chunks), pa.int32()),
+                pa.array([x.tobytes() for x in np.split(levels, ends[:-1])], pa.binary()),
+            ],
+            ["chunk", "segment", "data"],
+        )
+
     for batch in batches:
-        out = []
-        for chunk, segment, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for chunk, segment, data in zip(*(batch.column(c) for c in ("chunk", "segment", "data"))):
+            chunk, segment = chunk.as_py(), segment.as_py()
+            if chunks and (segment != at or size >= ASKED_AT_ONCE):
+                yield done()
+                chunks, keys, size = [], [], 0
             if segment != at:
                 at, part = segment, np.array([], _U)
             if chunk < 0:
-                part = np.frombuffer(data, _U)
+                part = np.frombuffer(data.as_py(), _U)
             else:
-                out.append((chunk, segment, told(part, np.frombuffer(data, np.uint32)).tobytes(), None, None, None))
-        yield _chunk_rows(out)
+                chunks.append(chunk)
+                keys.append(unpacked_sorted(data.as_py()))
+                size += len(keys[-1])
+    if chunks:
+        yield done()
 
 
 ROWS = "row bigint, doc_id bigint, n_tokens bigint, n_frequent bigint, frequent_log double, score double, rare array<bigint>"
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model, frequent) -> Iterator[pa.RecordBatch]:
     """Scores of each chunk's texts; the levels told follow them in the order of segments."""
-    model = model.value
+    model, frequent = model.value, frequent.value
     names = [c.split()[0] for c in ROWS.split(", ")]
 
-    def done(row: dict, levels: list[bytes]) -> pa.RecordBatch:
+    def done(row: dict, answers: list[bytes]) -> pa.RecordBatch:
         vocabulary, places = _tokens(row)
         tokens, ends = vocabulary[places], np.array(row["ends"])
         singles, pairs = _keys(tokens)
-        _, which = np.unique(np.concatenate([singles, pairs]), return_inverse=True)
-        counts = count_of(np.frombuffer(b"".join(levels), np.uint8).astype(np.int64))[which]
+        keys, which = np.unique(np.concatenate([singles, pairs]), return_inverse=True)
+        levels, settled = frequent.told(keys)
+        levels[~settled] = np.frombuffer(b"".join(answers), np.uint8)
+        counts = count_of(np.arange(MOST_LEVELS + 1))[levels][which]
         logs = model.score(tokens, counts[: len(tokens)], counts[len(tokens) :])
         exact = model.exact(vocabulary & ~_U(1))[places]
         starts = np.append(0, ends[:-1])
@@ -322,35 +474,42 @@ def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
             names,
         )
 
-    texts, levels = None, []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["segment"] >= 0:
-                levels.append(row["data"])
-                continue
-            if texts:
-                yield done(texts, levels)
-            texts, levels = row, []
+    texts, answers = None, []
+    for row in _rows(batches):
+        if row["segment"] >= 0:
+            answers.append(row["data"])
+            continue
+        if texts:
+            yield done(texts, answers)
+        texts, answers = row, []
     if texts:
-        yield done(texts, levels)
+        yield done(texts, answers)
 
 
-def _told_of(chunks: DataFrame, parts: DataFrame, bits: int) -> DataFrame:
-    """The chunks, each followed by what the filter tells of its keys, in order of segments."""
+def _told_of(chunks: DataFrame, parts: DataFrame, frequent) -> DataFrame:
+    """The chunks, each followed by what the filters tell of its keys, in order of segments."""
     tasks = max(shuffle_parts(chunks.sparkSession), 12)
-    asked = chunks.mapInArrow(lambda b: _asked(b, bits), CHUNKS)
+    asked = chunks.drop("teaches").mapInArrow(lambda b: _asked(b, frequent), ASKED)
     filters = parts.select(F.lit(-1).cast("bigint").alias("chunk"), "segment", F.col("filter").alias("data"))
-    both = asked.select("chunk", "segment", "data").unionByName(filters)
+    both = asked.unionByName(filters)
     dealt = both.repartition(tasks, "segment").sortWithinPartitions("segment", "chunk")
-    answers = dealt.mapInArrow(_answered, CHUNKS)
-    return chunks.unionByName(answers).repartition(tasks, "chunk").sortWithinPartitions("chunk", "segment")
-
-
-def train(texts: DataFrame, bits_each: int = BITS_EACH) -> tuple[Model, DataFrame, float]:
-    """A model of ``texts(text)``, the table of its parts, and the count of frequent words."""
-    bits = _segments.segment_bits(texts.count())
-    runs = texts.mapInArrow(lambda b: _counted(b, bits), _segments.BLOBS)
-    parts = staged(_segments.per_segment(runs, lambda s, k, c: _part(s, k, c, bits, bits_each), MODEL), "ngram-parts")
+    answers = dealt.mapInArrow(_answered, ASKED)
+    told_of = chunks.drop("teaches").unionByName(answers, allowMissingColumns=True)
+    return told_of.repartition(tasks, "chunk").sortWithinPartitions("chunk", "segment")
+
+
+def train(chunks: DataFrame, bits_each: int = BITS_EACH, most: int = MOST_ENTRIES) -> tuple[Model, Frequent, DataFrame, float]:
+    """A model of the chunks' texts that teach, its broadcast filter, the table of its parts, and
+    the count of frequent words."""
+    spark = chunks.sparkSession
+    tokens = chunks.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
+    bits = max(LEAST_SEGMENTS, tokens // TOKENS_PER_SEGMENT).bit_length() - 1
+    runs = chunks.mapInArrow(lambda b: _counted(b, bits), COUNTED)
+    dealt = runs.repartition(max(shuffle_parts(spark), 12), "segment").sortWithinPartitions("segment")
+    parts = dealt.mapInArrow(lambda b: _parts(b, bits, bits_each, most), MODEL)
+    parts = staged(parts, "ngram-parts", batch_bytes=GIVEN_BYTES)
+    tops = parts.select("segment", "top", "top_level").toLocalIterator()
+    frequent_ngrams = Frequent(bits, {r["segment"]: (bytes(r["top"]), r["top_level"]) for r in tops})
     totals = parts.agg(F.sum("total").alias("n"), F.sum("distinct_words").alias("v")).first()
     steps = parts.select(F.posexplode("from_count").alias("step", "n")).groupBy("step").agg(F.sum("n").alias("n"))
     enough = steps.where(F.col("n") <= MOST_FREQUENT).agg(F.min("step")).first()[0]
@@ -365,7 +524,7 @@ def train(texts: DataFrame, bits_each: int = BITS_EACH) -> tuple[Model, DataFram
         totals["n"] or 0,
         totals["v"] or 0,
     )
-    return model, parts, frequent
+    return model, frequent_ngrams, parts, frequent
 
 
 def score_texts(
@@ -374,6 +533,7 @@ def score_texts(
     modulus: int = 7,
     bits_each: int = BITS_EACH,
     chunk_words: int = CHUNK_WORDS,
+    most_entries: int = MOST_ENTRIES,
 ) -> DataFrame:
     """Per document: token counts, the base score and the model's score.
 
@@ -382,13 +542,16 @@ def score_texts(
     spark = docs.sparkSession
     importable_by_workers(spark)
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
-    texts = docs.select(doc_id, text_of().alias("text"), (remainder_of_id(modulus) == held_out).alias("held_out"))
-    learnt = texts.where(~F.coalesce("held_out", F.lit(False))).select("text")
-    model, parts, frequent = train(learnt, bits_each)
-    shared = spark.sparkContext.broadcast(model)
-    chunks = staged(texts.select("doc_id", "text").mapInArrow(lambda b: _chunked(b, chunk_words), CHUNKS), "chunks")
-    told_of = _told_of(chunks, parts, model.bits)
-    rows = staged(told_of.mapInArrow(lambda b: _scored(b, shared), ROWS), "scores")
+    # A null id is in no fold, so its text teaches.
+    teaches = ~F.coalesce(remainder_of_id(modulus) == held_out, F.lit(False))
+    texts = docs.select(doc_id, text_of().alias("text"), teaches.alias("teaches"))
+    chunks = staged(texts.mapInArrow(lambda b: _chunked(b, chunk_words), CHUNKS), "chunks")
+    model, frequent_ngrams, parts, frequent = train(chunks, bits_each, most_entries)
+    shared, shared_ngrams = map(spark.sparkContext.broadcast, (model, frequent_ngrams))
+    told_of = _told_of(chunks, parts, shared_ngrams)
+    rows = told_of.mapInArrow(lambda b: _scored(b, shared, shared_ngrams), ROWS)
+    rows = staged(rows, "scores", batch_bytes=GIVEN_BYTES)
+    discarded(chunks)
     rare = rows.select("row", F.explode("rare").alias("word"))
     counts = parts.select("words", "counts").mapInArrow(lambda b: _words(b, 0, frequent), "word bigint, c bigint")
     sums = (
