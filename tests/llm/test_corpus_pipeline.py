@@ -18,7 +18,9 @@ def test_stages_take_effect(spark):
             judged = quality_rules.score_quality(docs)
             keep = {r["doc_id"] for r in judged.where("kept").select("doc_id").collect()}
         elif name == "ngram_jaccard_join":
-            groups = jaccard_join.link_documents(docs)
+            groups = jaccard_join.link_documents(
+                docs, words=corpus_pipeline.SHINGLE_WORDS, least=corpus_pipeline.LEAST_SIMILAR
+            )
             keep = {r["doc_id"] for r in groups.where("doc_id = component_id").collect()}
         elif name == "benchmark_decontamination":
             found = decontamination.find_contamination(docs, spark.read.parquet(f"{SF_DIR}/benchmark.parquet"))
