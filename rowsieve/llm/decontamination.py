@@ -4,24 +4,24 @@ of consecutive words that a benchmark item has too.
 A window is 13 item words; an item of fewer words is one window. From every run of
 7 consecutive hashes of 7 words each, the least is kept as a fingerprint, so any 13
 words that a document shares with an item leave one fingerprint in common, whatever
-stands around them; of equal grams an item keeps all, since a document keeps any one.
-Document and item fingerprints are joined, and each hit is extended
-word by word in both directions; a run of 13 equal words or more is contaminated from
-end to end. Items too short to have a window of 13 words are looked up as they are,
-by one hash per place and length; such lengths occur in no or few items.
-
-Fingerprints compare by 64-bit hashes, the extension compares the words. No side is
-hinted: the planner broadcasts the staged item fingerprints while they are below
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond. Hits are gathered per
-document, not per fingerprint, so a passage that many documents share stays spread
-out. Only DataFrame functions are used.
+stands around them. A document's fingerprints are looked up among those of the items, as
+hashes, each once: neither a gram that an item repeats nor one that many items have makes
+more rows. What is hit is extended: all windows of 13 words around a hit that the document has are
+compared with the items' windows, word by word. A shared span of 13 words or more holds a hit
+in each of its windows, so it is found from end to end, and a text that goes in
+circles costs no more than any other. Items too short to have a window of 13 words are looked up as
+they are, by one hash per place and length; such lengths occur in no or few items.
+
+No side is hinted: the planner broadcasts the staged item fingerprints and windows while
+they are below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond. Hits are
+gathered per document, not per fingerprint, so a passage that many documents share stays
+spread out. Only DataFrame functions are used.
 
 Null or empty text has no words: such a document is never hit and such an item has no
 window. Repeated items count each by its id; a repeated item id is one item with
-several texts. Documents that share an id are one document with several texts: the
-columns describe each row, hits are found per row. Empty tables give clean documents or
-an empty result. Extra columns are ignored by ``find_contamination`` and kept by
-``keep_clean``.
+several texts. Every row is judged by its own text, whether its id is repeated or null. Empty
+tables give clean documents or an empty result. Extra columns are ignored by
+``find_contamination`` and kept by ``keep_clean``.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm._shared import LOWER, UPPER, join_by_id, staged, text_of
+from rowsieve.llm._shared import LOWER, ROW_KEY, UPPER, carried, join_by, staged, text_of, uncarried
 
 WINDOW = 13
 GRAM = 7
@@ -92,31 +92,6 @@ def _winnowed(keys: str, width: int, places: int) -> Column:
     return _marked(keys, at, places)
 
 
-def _winnowed_all(keys: str, width: int, places: int) -> Column:
-    """All places with the least gram of every ``width`` grams, whichever the other side takes."""
-    at = F.transform(
-        _runs(keys, width),
-        lambda _, i: F.filter(
-            F.sequence(i, i + F.lit(width - 1)),
-            lambda p: F.get(keys, p).bitwiseAND(F.lit(-places))
-            == _least(keys, width, i).bitwiseAND(F.lit(-places)),
-        ),
-    )
-    return _marked(keys, F.flatten(at), places)
-
-
-def _equal_run(words: str, item: str, at: Column, item_at: Column) -> Column:
-    """How many words agree from two places on: the place of the first that differs."""
-    most = F.least(F.size(words) - at, F.size(item) - item_at)
-    ahead = F.zip_with(
-        F.slice(words, at + 1, F.greatest(most, F.lit(0))),
-        F.slice(item, item_at + 1, F.greatest(most, F.lit(0))),
-        lambda a, b: a == b,
-    )
-    differs = F.array_position(ahead, F.lit(False)).cast("int")
-    return F.when(differs == 0, F.size(ahead)).otherwise(differs - 1)
-
-
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
@@ -124,76 +99,101 @@ def find_contamination(
 
     A document is contaminated when a twentieth of its words or more are hit.
     """
+    return _judged(carried(docs).drop("row"), benchmark, window, gram).drop("tie")
+
+
+def _judged(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``find_contamination`` of rows made by ``carried``, with their keys."""
     width = window - gram + 1
     places = 1 << (width - 1).bit_length()
     items = staged(
         benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(text_of()).alias("item"))
         .where(F.size("item") > 0)
-        .dropDuplicates(),
+        .withColumn("length", F.least(F.lit(window), F.size("item"))),
         "items",
     )
-    own = docs.select("doc_id", words_of(text_of()).alias("words"))
+    lengths = sorted(r["length"] for r in items.select("length").distinct().collect() if r["length"] < window)
+    starts = F.sequence(F.lit(0), F.size("item") - F.col("length"))
+    windows = items.select("item_id", "length", F.explode(starts).alias("_s"), "item").select(
+        "item_id", F.slice("item", F.col("_s") + 1, F.col("length")).alias("words")
+    )
+    windows = staged(windows.distinct(), "windows")
 
-    def keyed(rows: DataFrame, words: str) -> DataFrame:
-        codes = rows.withColumn("_codes", F.transform(words, lambda w: F.xxhash64(w)))
+    def keyed(texts: DataFrame, words: str) -> DataFrame:
+        codes = texts.withColumn("_codes", F.transform(words, lambda w: F.xxhash64(w)))
         return codes.withColumn("_keys", _keys("_codes", gram, places))
 
-    marks = (
-        keyed(items.where(F.size("item") >= window), "item")
-        .select("item_id", F.explode(_winnowed_all("_keys", width, places)).alias("_m"))
-        .select(F.col("_m.hash").alias("mark"), "item_id", F.col("_m.at").alias("item_at"))
+    def whole(words: str, length: int) -> Column:
+        """Every run of ``length`` words, as the mark of a short item."""
+        return F.transform(
+            _grams(words, length),
+            lambda code, i: F.struct(i.alias("at"), code.alias("hash"), F.lit(length).alias("length")),
+        )
+
+    def fingerprints(keys: str) -> Column:
+        return F.transform(
+            _winnowed(keys, width, places),
+            lambda m: F.struct(m["at"].alias("at"), m["hash"].alias("hash"), F.lit(window).alias("length")),
+        )
+
+    marks = keyed(items.where(F.col("length") == window), "item").select(
+        F.explode(fingerprints("_keys")).alias("m")
+    )
+    for length in lengths:
+        short = items.where(F.col("length") == length)
+        marks = marks.unionByName(short.select(F.explode(whole("item", length)).alias("m")))
+    marks = staged(
+        marks.select(F.col("m.hash").alias("mark"), F.col("m.length").alias("mark_length")).distinct(), "marks"
     )
-    marks = staged(marks, "marks")
     # Each row's number of words travels with its fingerprints, as one that meets nothing,
     # so that texts are split into words once.
     counted = F.struct(
-        (-1 - F.size("words")).alias("at"), F.xxhash64("doc_id", F.lit("words")).alias("hash")
+        (-1 - F.size("words")).alias("at"),
+        F.xxhash64("doc_id", "tie", F.lit("words")).alias("hash"),
+        F.lit(0).alias("length"),
     )
+    own = rows.select(*ROW_KEY, words_of(F.col("text")).alias("words"))
     prints = (
         keyed(own, "words")
         .select(
-            "doc_id",
-            F.explode(F.concat(F.array(counted), _winnowed("_keys", width, places))).alias("_m"),
+            *ROW_KEY,
+            F.explode(
+                F.concat(F.array(counted), fingerprints("_keys"), *[whole("words", n) for n in lengths])
+            ).alias("_m"),
         )
-        .select("doc_id", F.col("_m.at").alias("at"), F.col("_m.hash").alias("hash"))
+        .select(*ROW_KEY, "_m.*")
     )
-    met = prints.join(marks, (F.col("hash") == F.col("mark")) & (F.col("at") >= 0), "left")
-    met = met.where(F.col("item_id").isNotNull() | (F.col("at") < 0))
-    met = staged(met.select("doc_id", "at", "item_id", "item_at"), "met")
-    counted = met.where("at < 0").select("doc_id", (-1 - F.col("at")).cast("bigint").alias("n_words"))
-    hits = met.where("at >= 0")
-
-    short = items.where(F.size("item") < window)
-    lengths = sorted(r["n"] for r in short.select(F.size("item").alias("n")).distinct().collect())
-    for length in lengths:
-        whole = short.where(F.size("item") == length).withColumn("_g", _grams("item", length))
-        whole = staged(whole.select("item_id", F.get("_g", F.lit(0)).alias("hash")), "short")
-        places = (
-            own.withColumn("_g", _grams("words", length))
-            .select("doc_id", F.posexplode("_g").alias("at", "hash"))
-            .join(whole, "hash")
-        )
-        hits = hits.unionByName(places.select("doc_id", "at", "item_id", F.lit(0).alias("item_at")))
-
-    hits = staged(hits, "hits")
-    hit_texts = join_by_id(own, hits.select("doc_id").distinct(), "left_semi")
-    runs = (
-        join_by_id(staged(hit_texts, "hit-texts"), join_by_id(hits, items, "inner", "item_id"), "inner")
-        .withColumn("ahead", _equal_run("words", "item", F.col("at"), F.col("item_at")))
-        .withColumn("_w", F.reverse(F.slice("words", 1, F.col("at"))))
-        .withColumn("_i", F.reverse(F.slice("item", 1, F.col("item_at"))))
-        .withColumn("behind", _equal_run("_w", "_i", F.lit(0), F.lit(0)))
-        .where(F.col("ahead") + F.col("behind") >= F.least(F.lit(window), F.size("item")))
-        .select(
-            "doc_id",
-            "item_id",
-            (F.col("at") - F.col("behind")).alias("start"),
-            (F.col("at") + F.col("ahead")).alias("end"),
-        )
-        .distinct()
+    meets = (F.col("hash") == F.col("mark")) & (F.col("length") == F.col("mark_length"))
+    met = prints.join(marks, meets, "left").where(F.col("mark").isNotNull() | (F.col("at") < 0))
+    met = staged(met.select(*ROW_KEY, "at", "length"), "met")
+    counted = met.where("at < 0").select(*ROW_KEY, (-1 - F.col("at")).cast("bigint").alias("n_words"))
+
+    # The windows around each hit, each once. Equal rows have the same ones.
+    hits = met.where("at >= 0").distinct()
+    per_row = hits.groupBy(*ROW_KEY).agg(F.collect_list(F.struct("at", "length")).alias("hits"))
+    per_row = staged(per_row, "hits")
+    # Only texts with a hit are shuffled while their keys are few enough for the planner to broadcast.
+    hit_texts = join_by(rows, per_row.select(*ROW_KEY), "left_semi", *ROW_KEY).dropDuplicates([*ROW_KEY])
+    hit_texts = hit_texts.select(*ROW_KEY, words_of(F.col("text")).alias("words"))
+    hit_texts = join_by(hit_texts, per_row, "inner", *ROW_KEY)
+    last = F.size("words") - window
+
+    def around(hit: Column) -> Column:
+        first = F.greatest(hit["at"] - (window - gram), F.lit(0))
+        wide = F.when(first <= F.least(hit["at"], last), F.sequence(first, F.least(hit["at"], last)))
+        at = F.when(hit["length"] == window, wide).otherwise(F.array(hit["at"]))
+        return F.transform(at, lambda s: F.struct(s.alias("start"), hit["length"].alias("length")))
+
+    near = F.array_distinct(F.flatten(F.transform("hits", around)))
+    candidates = hit_texts.select(*ROW_KEY, "words", F.explode(near).alias("_w")).select(
+        *ROW_KEY,
+        F.col("_w.start").alias("start"),
+        (F.col("_w.start") + F.col("_w.length")).alias("end"),
+        F.slice("words", F.col("_w.start") + 1, F.col("_w.length")).alias("words"),
     )
+    runs = staged(candidates.join(windows, "words").select(*ROW_KEY, "item_id", "start", "end"), "runs")
     # Hit words are counted by merging a document's runs in order of their starts.
-    per_doc = runs.groupBy("doc_id").agg(
+    per_doc = runs.groupBy(*ROW_KEY).agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_runs"),
         F.sort_array(F.collect_set("item_id")).alias("item_ids"),
     )
@@ -205,10 +205,10 @@ def find_contamination(
             (acc["n"] + F.greatest(r["end"] - F.greatest(acc["upto"], r["start"]), F.lit(0))).alias("n"),
         ),
     )["n"]
-    found = per_doc.select("doc_id", merged.alias("n_hit"), "item_ids")
+    found = per_doc.select(*ROW_KEY, merged.alias("n_hit"), "item_ids")
     hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("bigint")
-    return join_by_id(counted, found, "left").select(
-        "doc_id",
+    return join_by(counted, found, "left", *ROW_KEY).select(
+        *ROW_KEY,
         "n_words",
         hit.alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
@@ -218,5 +218,6 @@ def find_contamination(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they were."""
-    dirty = find_contamination(docs, benchmark).where("contaminated").select("doc_id")
-    return join_by_id(docs, dirty.distinct(), "left_anti").select(*docs.columns)
+    rows = carried(docs)
+    dirty = _judged(rows.drop("row"), benchmark).where("contaminated").select(*ROW_KEY).distinct()
+    return uncarried(join_by(rows, dirty, "left_anti", *ROW_KEY), docs)

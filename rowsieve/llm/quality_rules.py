@@ -9,12 +9,13 @@ corpus holds, and each iteration is one aggregate over the patterns that returns
 row. Only DataFrame functions are used.
 
 What the base rule rejects is decided already, so the model learns from the rest: its
-two classes are then not spent on telling short or looping texts from all others.
+two classes are then not spent on telling short or looping texts from all others. The
+length rule votes junk only on such texts, so what is learnt about it comes from its good votes.
 
 Null text counts as empty and empty text has no words: all statistics are zero, every
 rule but the length rule abstains, and the base rule rejects it. An empty table gives
 an empty result. Extra columns are ignored by ``score_quality`` and kept by
-``keep_good``. Documents repeated under one id are judged one by one.
+``keep_good``. Rows are judged one by one, whether their ids are repeated or null.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm._shared import BLANK_RUN, join_by_id, staged, text_of
+from rowsieve.llm._shared import BLANK_RUN, carried, staged, text_of, uncarried
 
 ITERATIONS = 15
 THRESHOLD = 0.5
 #: Where estimation starts: good documents pass nearly every rule, and each kind of junk
-#: fails few rules. ``LEAST_RIGHT`` keeps a rule from being read as its opposite.
-START_PRIOR, START_RIGHT, LEAST_RIGHT = 0.7, (0.99, 0.3), (0.9, 0.02)
+#: fails few rules. ``LEAST_RIGHT`` keeps a rule's votes on good documents from being read as
+#: their opposite, and the odds finite for junk.
+START_PRIOR, START_RIGHT, LEAST_RIGHT = 0.7, (0.99, 0.3), (0.5, 0.02)
 #: Votes that every rule is taken to have cast besides its own, half of them right.
 PSEUDO_VOTES = 2.0
 
@@ -40,8 +42,8 @@ BLANKS = " \t\n\x0b\f\r"
 NO_LETTERS = "0123456789" + "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts that the rules look at, one row per document.
+def text_statistics(docs: DataFrame, *others: str) -> DataFrame:
+    """doc_id and the counts that the rules look at, one row per document; other columns if named.
 
     A word is a run without ASCII blanks. Three-word windows are compared by 64-bit
     hashes; only texts in which a window repeats sort them to find the places.
@@ -49,12 +51,14 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     text = F.col("_text")
     words = docs.select(
         "doc_id",
+        *others,
         text_of().alias("_text"),
         F.filter(F.split(text_of(), BLANK_RUN), lambda w: w != "").alias("_words"),
     )
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
     hashed = words.select(
         "doc_id",
+        *others,
         "_text",
         F.size("_words").cast("bigint").alias("n_words"),
         F.transform("_words", lambda w: F.xxhash64(w)).alias("_h"),
@@ -88,6 +92,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     bare = F.translate(text, BLANKS, "")
     return placed.select(
         "doc_id",
+        *others,
         "n_words",
         F.length(bare).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
@@ -195,16 +200,17 @@ def estimate(patterns: DataFrame, votes: list[str], iterations: int = ITERATIONS
 
 def score_quality(
     docs: DataFrame, rules: list[Rule] | None = None, threshold: float = THRESHOLD,
-    iterations: int = ITERATIONS,
+    iterations: int = ITERATIONS, others: tuple[str, ...] = (),
 ) -> DataFrame:
     """Statistics, votes, posterior ``p_good``, ``base_failed`` and ``kept`` per document.
 
     The base rule rejects texts of under 50 words and those of which over half the
     words lie in repeated windows; ``kept`` wants a posterior of ``threshold`` besides.
+    Columns named in ``others`` stay.
     """
     rules = rules or default_rules()
     votes = [f"vote_{rule.name}" for rule in rules]
-    voted = staged(text_statistics(docs).select("*", *[r.vote() for r in rules]), "votes")
+    voted = staged(text_statistics(docs, *others).select("*", *[r.vote() for r in rules]), "votes")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     undecided = voted.where(~failed).groupBy(*votes).agg(F.count(F.lit(1)).alias("n"))
     prior, right = estimate(staged(undecided.coalesce(1), "patterns"), votes, iterations)
@@ -217,5 +223,4 @@ def score_quality(
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that ``score_quality`` keeps, with their columns as they were."""
-    kept = score_quality(docs).where("kept").select("doc_id").distinct()
-    return join_by_id(docs, kept, "left_semi").select(*docs.columns)
+    return uncarried(score_quality(carried(docs), others=("row",)).where("kept"), docs)
