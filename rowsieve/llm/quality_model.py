@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm._shared import by_hash, importable_by_workers, text_of
+from rowsieve.llm._shared import ROW_KEY, importable_by_workers, labelled_sample, staged, text_of
 
 WORD_BUCKETS = 1 << 15
 FACTORS = 8
@@ -186,8 +186,10 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, docs: DataFrame, most: int = MOST_LABELLED) -> FactorisationMachine:
     """A model from (doc_id, target) rows, at most ``most`` of them, and their documents."""
     importable_by_workers(docs.sparkSession)
-    chosen = by_hash(labelled.where(F.col("target").isNotNull()), most)
-    rows = _rows(docs).join(F.broadcast(chosen), "doc_id")
+    chosen = staged(labelled_sample(labelled, docs, most), "labelled")
+    texts = _rows(docs).withColumn("tie", F.xxhash64("text"))
+    rows = texts.join(F.broadcast(chosen), [*ROW_KEY]).dropDuplicates([*ROW_KEY, "target"])
+    rows = rows.select("text", "n_chars", "target")
     found = rows.mapInArrow(_extracted, "target int, statistics array<bigint>, words array<bigint>").toArrow()
     found = found.sort_by([("target", "ascending")]).to_pylist()
     # The same examples in the same order, whatever task gave them.

@@ -12,7 +12,9 @@ text each of its characters came from, so spans are reported in the text as it s
 ``scan`` returns each row with the spans of the plain text and those found in layers. A
 span is (kind, start, end) in code points, the end exclusive. A secret found inside an
 encoded run covers the whole run if that is base64 or compressed, else the escapes that
-its characters were written as.
+its characters were written as. A compressed run of more than 64 MB is read in pieces that
+overlap by 1 MB, so that memory is bounded and nothing is left out; where an encoded run inside it is longer than
+the overlap and cut there, each part is decoded by itself and ``truncated`` says so.
 
 Null text counts as empty and has no spans; redacted it stays null. Empty tables give an
 empty result. Rows are carried as a struct, so columns of any name stay as they are.
@@ -24,6 +26,7 @@ from __future__ import annotations
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -60,9 +63,13 @@ ODD = re.compile(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]")
 STRETCH = re.compile(rb"(?:[\t\n\r\x20-\x7E]|[\xC2-\xDF][\x80-\xBF]|[\xE0-\xEF][\x80-\xBF]{2}){12,}")
 MAGIC = re.compile(rb"\x1F\x8B\x08|\x78[\x01\x5E\x9C\xDA]|BZh[1-9]|\xFD7zXZ\x00")
 
-#: Bytes that one compressed run may unwrap to: a bound on memory, since a few bytes can
-#: stand for terabytes. What lies beyond is not scanned, and ``truncated`` says so.
-MOST_BYTES = 64 << 20
+#: Unpacked data of more than so many bytes is read in pieces, a bound on memory, since a few bytes
+#: can stand for terabytes; and how many bytes a piece has in common with the one before.
+PIECE_BYTES, OVERLAP_BYTES = 64 << 20, 1 << 20
+#: How often data that is packed more than once is unpacked while it is read in pieces.
+MOST_NESTED = 64
+#: An overlap of such characters alone may be the middle of one encoded run.
+ENCODED = re.compile(rb"[A-Za-z0-9+/_=\s%\\&#;{}-]*")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -129,17 +136,10 @@ def _readable(data: bytes) -> str | None:
 
 def _member(data, most: int) -> tuple[bytes, bool, bytes] | None:
     """The first member of compressed data, whether the bound cut it, and what follows it."""
+    opened = _opener(data)
+    if not opened:
+        return None
     try:
-        if data[:2] == b"\x1f\x8b":
-            opened = zlib.decompressobj(31)
-        elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            opened = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            opened = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            opened = lzma.LZMADecompressor()
-        else:
-            return None
         out = opened.decompress(data, most)
     except (zlib.error, OSError, lzma.LZMAError, EOFError):
         return None
@@ -163,6 +163,67 @@ def _unpacked(data, most: int) -> tuple[bytes, bool] | None:
     return b"".join(outs), cut
 
 
+def _opener(data):
+    """What unpacks data that begins like this, if anything does."""
+    head = bytes(data[:6])
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _inflated(blocks: Iterator[bytes], step: int) -> Iterator[bytes]:
+    """Unpacked bytes of all members, in blocks of ``step`` at most."""
+    data = next(blocks, b"")
+    while data and (opened := _opener(data)):
+        feed = data
+        while not opened.eof:
+            try:
+                out = opened.decompress(feed, step)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError):
+                return
+            if out:
+                yield out
+            feed = getattr(opened, "unconsumed_tail", b"")
+            more = bool(feed) or len(out) == step or not getattr(opened, "needs_input", True)
+            if not opened.eof and not more:
+                feed = next(blocks, None)
+                if feed is None:
+                    return
+        # Some tools pad members with zeros.
+        data = bytes(opened.unused_data).lstrip(b"\0") or next(blocks, b"").lstrip(b"\0")
+
+
+def _in_pieces(data, size: int, overlap: int) -> Iterator[tuple[bytes, bool]]:
+    """Unpacked data as pieces that overlap, and whether an encoded run may be longer than that."""
+    step = max(size // 8, 1)
+    blocks, nested = _inflated(iter([bytes(data)]), step), 0
+    first = next(blocks, b"")
+    while first and nested < MOST_NESTED and _opener(first):
+        blocks, nested = _inflated(itertools.chain([first], blocks), step), nested + 1
+        first = next(blocks, b"")
+    held = first
+    for block in blocks:
+        held += block
+        if len(held) >= size:
+            # A piece ends and begins with whole characters.
+            end = len(held)
+            while end > len(held) - 4 and held[end - 1] & 0xC0 == 0x80:
+                end -= 1
+            end -= end > 0 and held[end - 1] >= 0xC0
+            carried = held[max(end - overlap, 1) :]
+            start = next((k for k in range(4) if carried[k : k + 1] and carried[k] & 0xC0 != 0x80), 0)
+            yield held[:end], bool(ENCODED.fullmatch(carried))
+            held = carried[start:]
+    if held:
+        yield held, False
+
+
 def _from_base64(run: str) -> Iterator[bytes]:
     """What a run decodes to from each of its first four characters: what stands before base64
     may look like it."""
@@ -191,54 +252,60 @@ def _blocks(chain: str) -> set[tuple[int, int]]:
     return {(at[a][0], at[b - 1][1] if b < len(at) else len(chain)) for a, b in found}
 
 
-def _children(layer: Layer, most: int) -> tuple[list[Layer], bool]:
-    """Layers that one step of decoding gives."""
-    text, out, cut = layer.text, [], False
+def _children(layer: Layer, most: int | None, notes: dict) -> Iterator[Layer]:
+    """Layers that one step of decoding gives, one after the other; ``notes`` says what was cut."""
+    text = layer.text
 
-    def unpacked(data) -> bytes | None:
-        nonlocal cut
-        opened = _unpacked(data, most)
-        if not opened:
-            return None
+    def unpacked(data) -> Iterator[bytes] | None:
+        opened = _unpacked(data, most or PIECE_BYTES)
+        return opened and contents(data, opened)
+
+    def contents(data, opened) -> Iterator[bytes]:
         # Data packed more than once holds no text in between.
         met = set()
         while opened and opened[0] not in met:
-            data, cut_here = opened
-            met.add(data)
-            cut = cut or cut_here
-            opened = _unpacked(data, most)
-        return data
-
-    def pieces(data: bytes, place: tuple[int, int]) -> None:
+            inner, cut = opened
+            if cut and most is None:
+                for piece, open_run in _in_pieces(data, PIECE_BYTES, OVERLAP_BYTES):
+                    notes["cut"] = notes.get("cut", False) or open_run
+                    yield piece
+                return
+            met.add(inner)
+            notes["cut"] = notes.get("cut", False) or cut
+            data, opened = inner, _unpacked(inner, most or PIECE_BYTES)
+        yield data
+
+    def pieces(data: bytes, place: tuple[int, int]) -> Iterator[Layer]:
         """Data as a layer if it is text, else each stretch of text in it."""
         found = _readable(data)
-        texts = [found] if found else [m[0].decode("utf-8", "replace") for m in STRETCH.finditer(data)]
-        out.extend(Layer(t, None, None, place) for t in texts)
+        texts = [found] if found else (m[0].decode("utf-8", "replace") for m in STRETCH.finditer(data))
+        for t in texts:
+            yield Layer(t, None, None, place)
 
-    def enter(data: bytes, place: tuple[int, int]) -> None:
+    def enter(data: bytes, place: tuple[int, int]) -> Iterator[Layer]:
         opened = unpacked(data)
         if opened is not None:
-            if opened:
-                out.append(Layer(opened.decode("utf-8", "replace"), None, None, place))
+            for piece in opened:
+                if piece:
+                    yield Layer(piece.decode("utf-8", "replace"), None, None, place)
             return
-        pieces(data, place)
+        yield from pieces(data, place)
         for m in MAGIC.finditer(data, 1):
-            opened = unpacked(memoryview(data)[m.start() :])
-            if opened:
-                pieces(opened, place)
+            for piece in unpacked(memoryview(data)[m.start() :]) or ():
+                yield from pieces(piece, place)
 
     if "%" in text:
         parts = []
         for m in PERCENT.finditer(text):
             data = bytes.fromhex(m[0].replace("%", ""))
-            if _unpacked(data, most):
-                enter(data, layer.place(m.start(), m.end()))
+            if _opener(data):
+                yield from enter(data, layer.place(m.start(), m.end()))
             if data.isascii():  # one character for each escape: keep their places apart
                 parts += [(m.start() + 3 * k, m.start() + 3 * k + 3, chr(b)) for k, b in enumerate(data)]
             else:
                 parts.append((m.start(), m.end(), data.decode("utf-8", "replace")))
         if parts:
-            out.append(layer.replaced(parts))
+            yield layer.replaced(parts)
     if "\\" in text or "&#" in text:
         parts = []
         for m in ESCAPE.finditer(text):
@@ -246,7 +313,7 @@ def _children(layer: Layer, most: int) -> tuple[list[Layer], bool]:
             if code < 0x110000 and not 0xD800 <= code < 0xE000:
                 parts.append((m.start(), m.end(), chr(code)))
         if parts:
-            out.append(layer.replaced(parts))
+            yield layer.replaced(parts)
     runs = [(m[0], m.start(), m.end()) for m in BASE64.finditer(text)]
     if "\n" in text:
         for m in LINES.finditer(text):
@@ -255,33 +322,35 @@ def _children(layer: Layer, most: int) -> tuple[list[Layer], bool]:
                 runs.append((run, m.start() + start, m.start() + end))
     for run, start, end in runs:
         for data in _from_base64(run):
-            enter(data, layer.place(start, end))
-    return out, cut
+            yield from enter(data, layer.place(start, end))
 
 
-def unwrap(text: str, most: int = MOST_BYTES) -> tuple[list, list, int, bool]:
-    """Base spans, all spans, layers entered, and whether a bound cut one.
+def unwrap(text: str, most: int | None = None) -> tuple[list, list, int, bool]:
+    """Base spans, all spans, layers entered, and whether something may have been missed.
 
     Spans are (start, kind, end), in that order. Layers are told apart by their text
-    and place, so a layer that decodes to one seen before at that place ends there.
+    and place, so a layer that decodes to one seen before at that place ends there. ``most`` bounds what
+    a compressed run unpacks to and drops the rest; without it large runs are read in pieces.
     """
     base = base_spans(text)
-    spans, seen, truncated = set(base), set(), False
-    work, layers = [Layer(text, None, None)], 0
+    spans, seen, notes, layers = set(base), set(), {}, 0
+    # Depth first, each layer's children one at a time: of a large run one piece is held.
+    work = [_children(Layer(text, None, None), most, notes)]
     while work:
-        children, cut = _children(work.pop(), most)
-        truncated = truncated or cut
-        for child in children:
-            mark = (child.run, hashlib.blake2b(child.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-            if mark in seen:
-                continue
-            seen.add(mark)
-            layers += 1
-            for start, kind, end in base_spans(child.text):
-                a, b = child.place(start, end)
-                spans.add((a, kind, b))
-            work.append(child)
-    return base, sorted(spans), layers, truncated
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+            continue
+        mark = (child.run, hashlib.blake2b(child.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        if mark in seen:
+            continue
+        seen.add(mark)
+        layers += 1
+        for start, kind, end in base_spans(child.text):
+            a, b = child.place(start, end)
+            spans.add((a, kind, b))
+        work.append(_children(child, most, notes))
+    return base, sorted(spans), layers, notes.get("cut", False)
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -294,12 +363,12 @@ FOUND = (
 )
 
 
-def _scanned(batches: Iterator[pa.RecordBatch], redact: bool) -> Iterator[pa.RecordBatch]:
+def _scanned(batches: Iterator[pa.RecordBatch], redact: bool, most: int | None) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in FOUND.split(", ")]
     for batch in batches:
         rows = []
         for text in batch.column("text").to_pylist():
-            base, spans, layers, cut = unwrap(text)
+            base, spans, layers, cut = unwrap(text, most)
             counts = [sum(1 for s in base if s[1] == kind) for kind in range(3)]
             digest = hashlib.sha256(joined(base).encode()).hexdigest()
             new = without(text, spans) if redact and spans else None
@@ -320,15 +389,17 @@ def without(text: str, spans: list[tuple[int, int, int]], mark: str = "[secret]"
     return "".join([*out, text[at:]])
 
 
-def scan(docs: DataFrame, redact: bool = False) -> DataFrame:
+def scan(docs: DataFrame, redact: bool = False, most: int | None = None) -> DataFrame:
     """Every row, as the struct ``row``, with what was found in its text.
 
+    ``most`` bounds the bytes that a compressed run is unpacked to; by default all are read.
+
     ``redacted`` is null where there is nothing to take out, or if it isn't asked for.
     """
     importable_by_workers(docs.sparkSession)
     rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), text_of().alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(lambda batches: _scanned(batches, redact), f"row {kind}, {FOUND}")
+    return rows.mapInArrow(lambda batches: _scanned(batches, redact, most), f"row {kind}, {FOUND}")
 
 
 def redact(docs: DataFrame) -> DataFrame:

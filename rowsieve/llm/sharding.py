@@ -6,15 +6,15 @@ it: block by block, the shard counts follow a multivariate hypergeometric law ov
 places that are left. Within a block rows are ordered at random and dealt out by the
 matrix; after the exchange each shard is ordered at random again. Shard sizes are
 exact (``rows`` law: at most one apart), each assignment is equally likely, and no task
-holds a whole shard: the second order runs over hash ranges of a shard, whose counts
-give each range its first slot.
+holds a whole block or shard: both orders run over ranges of the random key, whose counts
+give each range its first place, so more rows mean more ranges, not larger ones.
 
 All random numbers derive from the seed and the row's key, so a task that runs again
 deals the same rows to the same places. Only DataFrame functions touch the rows; what
 the driver draws is the matrix, one small row of numbers per block.
 
-Null keys and texts are rows like others, and repeated rows are told apart by a row
-number over equal keys and texts. Null text has no bytes. An empty table gives an empty
+Null keys and texts are rows like others, and rows with equal ids and texts are told apart by
+a number, given task by task. Null text has no bytes. An empty table gives an empty
 result. Extra columns are dropped.
 """
 
@@ -27,11 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsieve.functions import literal_rows
-from rowsieve.llm._shared import staged, text_of
+from rowsieve.llm._shared import join_by, staged, text_of
 
 #: Rows that a block or a range of a shard holds on average.
 BLOCK_ROWS = 20_000
-#: The matrix has at most so many blocks; beyond, blocks hold more rows each.
+#: The matrix, which the driver draws, has at most so many blocks; beyond, blocks hold more ranges each.
 MOST_BLOCKS = 4096
 
 
@@ -81,6 +81,46 @@ def _block(key: Column, blocks: int) -> Column:
     return F.floor(high * blocks / F.lit(2**31)).cast("int")
 
 
+KEY = ("doc_id", "size", "text_crc32")
+
+
+def _numbered(thin: DataFrame) -> DataFrame:
+    """Rows with ``_copy``, from 1 on, among those that agree in all columns of ``KEY``.
+
+    Such rows are interchangeable. They are counted for each task of the staged table first, so a
+    task numbers no more of them than one has read, however many there are.
+    """
+    here = staged(thin.groupBy(*KEY, "_task").agg(F.count(F.lit(1)).alias("_n")), "equal-here")
+    equal = here.groupBy(*KEY).agg(F.sum("_n").alias("_all")).where("_all > 1").select(*KEY)
+    equal = staged(equal, "equal")
+    if equal.isEmpty():
+        return thin.withColumn("_copy", F.lit(1).cast("bigint"))
+    earlier = Window.partitionBy(*KEY).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = join_by(here, equal, "left_semi", *KEY).withColumn(
+        "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    )
+    within = Window.partitionBy(*KEY, "_task").orderBy("_task")
+    several = join_by(thin, before.drop("_n"), "inner", *KEY, "_task")
+    several = several.withColumn("_copy", F.row_number().over(within) + F.col("_before")).drop("_before")
+    single = join_by(thin, equal, "left_anti", *KEY)
+    return single.withColumn("_copy", F.lit(1).cast("bigint")).unionByName(several)
+
+
+def _ranked(rows: DataFrame, group: str, part: str, key: str) -> DataFrame:
+    """Rows with their place ``_at``, from 0 on, in their group in order of a random key.
+
+    ``part`` numbers ranges of the key; each is ordered by itself, and the ranges' counts give each its
+    first place."""
+    parts = rows.groupBy(group, part).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = Window.partitionBy(group, part).orderBy(key, *KEY, "_copy")
+    placed = rows.withColumn("_within", F.row_number().over(within) - 1)
+    return placed.join(starts, [group, part]).withColumn("_at", F.col("_first") + F.col("_within")).drop(
+        "_first", "_within"
+    )
+
+
 def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot: a uniform shuffle into equal shards."""
     spark = docs.sparkSession
@@ -89,16 +129,16 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 7, block_rows: int
         (F.octet_length(text_of()) + F.lit(1)).cast("bigint").alias("size"),
         F.crc32(F.encode(text_of(), "UTF-8")).alias("text_crc32"),
     )
-    # Rows that agree in all three columns are interchangeable: they share the keys' order.
-    thin = staged(thin, "sizes")
+    thin = staged(thin.withColumn("_task", F.spark_partition_id()), "sizes")
     total = thin.count()
     blocks = min(MOST_BLOCKS, max(1, math.ceil(total / block_rows)))
-    same = Window.partitionBy("doc_id", "size", "text_crc32").orderBy("doc_id")
-    keyed = thin.withColumn("_copy", F.row_number().over(same)).select(
-        "*",
-        _random_key(seed, "deal", "doc_id", "size", "text_crc32", "_copy").alias("_k1"),
-        _random_key(seed, "slot", "doc_id", "size", "text_crc32", "_copy").alias("_k2"),
+    keyed = _numbered(thin).select(
+        *KEY,
+        "_copy",
+        _random_key(seed, "deal", *KEY, "_copy").alias("_k1"),
+        _random_key(seed, "slot", *KEY, "_copy").alias("_k2"),
     ).withColumn("_block", F.pmod(F.xxhash64("_k1"), F.lit(blocks)).cast("int"))
+    keyed = keyed.withColumn("_part", _block(F.col("_k1"), max(1, math.ceil(total / blocks / block_rows))))
     keyed = staged(keyed, "keyed")
 
     counts = {r["_block"]: r["n"] for r in keyed.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -110,23 +150,16 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 7, block_rows: int
     ]
     table = literal_rows(spark, bounds, {"_block": "int", "_upto": "array<bigint>"})
 
-    by_block = Window.partitionBy("_block").orderBy("_k1", "doc_id", "size", "text_crc32", "_copy")
-    ranked = keyed.withColumn("_rank", F.row_number().over(by_block).cast("bigint"))
+    ranked = _ranked(keyed, "_block", "_part", "_k1").withColumn("_rank", F.col("_at") + 1)
     dealt = ranked.join(F.broadcast(table), "_block").withColumn(
         "shard", F.size(F.filter("_upto", lambda upto: upto < F.col("_rank")))
     )
     dealt = staged(
         dealt.withColumn("_range", _block(F.col("_k2"), max(1, math.ceil(total / shards / block_rows)))).drop(
-            "_upto", "_rank", "_block", "_k1"
+            "_upto", "_rank", "_at", "_block", "_part", "_k1"
         ),
         "dealt",
     )
 
-    ranges = dealt.groupBy("shard", "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = Window.partitionBy("shard", "_range").orderBy("_k2", "doc_id", "size", "text_crc32", "_copy")
-    placed = dealt.withColumn("_at", F.row_number().over(within) - 1)
-    return placed.join(starts, ["shard", "_range"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("_first") + F.col("_at")).alias("slot")
-    )
+    placed = _ranked(dealt, "shard", "_range", "_k2")
+    return placed.select(*KEY, "shard", F.col("_at").cast("bigint").alias("slot"))

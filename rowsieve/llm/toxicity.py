@@ -4,11 +4,12 @@ A text is read as words; each word is given to the network by a word input (a ve
 of the bucket its hash falls into) and a character input (the mean vector of its hashed
 character trigrams, its ends marked). One gated unit reads a window of words forwards,
 another backwards; attention weighs the states of both, and their weighted sum gives the
-window's log odds. Windows overlap by half and cover the whole text; a text scores as its
-most toxic window does.
+window's log odds. Windows overlap by half and cover the whole text; where one is near the
+threshold in a text that no window decides, all windows that begin within half a window of it are
+scored too. A text scores as its most toxic window does.
 
 The network is trained in numpy on a bounded sample of labelled documents (the least by a
-hash of their ids, half of them toxic as far as there are enough). Labels are known per
+hash of their ids, half of them toxic as far as there are enough, none longer than 64 KB). Labels are known per
 document only, so each step teaches the window that scores highest in its document. The
 first number of each bucket starts at the log odds with which the bucket's words occur
 in toxic documents of the sample. All parameters have a fixed size, which bounds what is
@@ -31,15 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm._shared import by_hash, importable_by_workers, text_of
+from rowsieve.llm._shared import ROW_KEY, importable_by_workers, labelled_sample, staged, text_of
 
 WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, TRIGRAM_BUCKETS = 1 << 15, 1 << 12
 WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 6, 4, 8, 8
-#: At most so many labelled documents of each kind are learnt from, and of each so many
-#: bytes at most: a longer document is left out of the sample, never of the scoring.
+#: At most so many labelled texts of each kind are learnt from, chosen among those of so many
+#: bytes or fewer; longer ones are scored like all others.
 MOST_LABELLED, MOST_BYTES = 1000, 64 << 10
 EPOCHS, BATCH, RATE = 8, 50, 0.01
+#: Log odds within which a window is near the threshold, and its neighbours are scored as well.
+NEAR = 3.0
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -267,12 +270,30 @@ class Network:
         flat = np.concatenate([*rows, np.zeros(WINDOW, np.int64)])
         owner_all = np.concatenate(owner).astype(np.int64)
         start_all = np.concatenate(starts).astype(np.int64)
-        for at in range(0, len(owner_all), 2048):
-            own, first = owner_all[at : at + 2048], start_all[at : at + 2048]
-            size = np.minimum(begin[own + 1] - begin[own] - first, WINDOW)
-            places = (begin[own] + first)[:, None] + np.arange(WINDOW)
-            mask = (np.arange(WINDOW) < size[:, None]).astype(np.float32)
-            np.maximum.at(best, own, self.odds(table[flat[np.minimum(places, len(flat) - 1)]], mask))
+
+        def scored(owner: np.ndarray, start: np.ndarray) -> np.ndarray:
+            """Log odds of windows; the most of each text goes into ``best``."""
+            out = np.empty(len(owner))
+            for at in range(0, len(owner), 2048):
+                own, first = owner[at : at + 2048], start[at : at + 2048]
+                size = np.minimum(begin[own + 1] - begin[own] - first, WINDOW)
+                places = (begin[own] + first)[:, None] + np.arange(WINDOW)
+                mask = (np.arange(WINDOW) < size[:, None]).astype(np.float32)
+                odds = self.odds(table[flat[np.minimum(places, len(flat) - 1)]], mask)
+                out[at : at + 2048] = odds
+                np.maximum.at(best, own, odds)
+            return out
+
+        odds = scored(owner_all, start_all)
+        near = np.flatnonzero((np.abs(odds) <= NEAR) & (best[owner_all] <= NEAR))
+        if len(near):
+            around = np.arange(1 - STRIDE, STRIDE)
+            own = np.repeat(owner_all[near], len(around))
+            last = np.maximum(begin[own + 1] - begin[own] - WINDOW, 0)
+            first = (start_all[near][:, None] + around).ravel()
+            inside = (first >= 0) & (first <= last) & (first % STRIDE != 0)
+            own, first = np.unique(np.stack([own[inside], first[inside]]), axis=1)
+            scored(own, first)
         return _sigmoid(best.astype(np.float64))
 
 
@@ -298,13 +319,17 @@ def windows_of(docs: list[list[bytes]]) -> tuple[list[bytes], np.ndarray, np.nda
     return list(index), np.array(ids), np.array(mask, np.float32), np.array(owner)
 
 
-def train(labelled: DataFrame, docs: DataFrame, most: int = MOST_LABELLED) -> Network:
-    """A network from (doc_id, target) rows, at most ``most`` of each kind, and their documents."""
-    kinds = [by_hash(labelled.where(F.col("target") == kind), most) for kind in (0, 1)]
-    chosen = kinds[0].unionByName(kinds[1])
-    texts = docs.select("doc_id", text_of().alias("text")).where(F.octet_length("text") <= MOST_BYTES)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "target").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+def train(
+    labelled: DataFrame, docs: DataFrame, most: int = MOST_LABELLED, most_bytes: int = MOST_BYTES
+) -> Network:
+    """A network from (doc_id, target) rows and their documents: at most ``most`` texts of each kind, of
+    at most ``most_bytes`` each."""
+    kinds = [labelled_sample(labelled.where(F.col("target") == kind), docs, most, most_bytes) for kind in (0, 1)]
+    chosen = staged(kinds[0].unionByName(kinds[1]), "labelled")
+    texts = docs.select("doc_id", F.xxhash64(text_of()).alias("tie"), text_of().alias("text"))
+    rows = texts.join(F.broadcast(chosen), [*ROW_KEY]).dropDuplicates([*ROW_KEY, "target"])
+    rows = rows.select("doc_id", "text", "target").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["text"], r["target"]))
     return Network().train([r["text"] for r in rows], np.array([r["target"] for r in rows], np.float32))
 
 
