@@ -32,6 +32,7 @@ SCANS = {
     "metrics_long": 2,
     # approximate and exact counts side by side
     "profile_distinct": 2,
+    "profile_table_whole": 2,
 }
 
 
