@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import random
 import zlib
 
@@ -186,8 +185,8 @@ def test_pipeline_over_odd_rows_and_an_empty_table(spark, tmp_path, benchmark):
         benchmark.write.parquet(f"{sf_dir}/benchmark.parquet")
     packed = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
     reader = packing._Encoder.load(packing.VOCABULARY, True)
-    kept = [NEAR, OTHER, SECRET.replace("password=abcdefghijkl123", "[secret]")]
+    # With the junk under id 1 gone, that id names one row, and it comes before its near copy.
+    kept = [GOOD, OTHER, SECRET.replace("password=abcdefghijkl123", "[secret]")]
     sizes = sorted(len(reader(t)) + 1 for t in kept)
     assert sorted(r["doc_tokens"] for r in packed) == sizes
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
-    assert hashlib.sha256(GOOD.encode()).hexdigest() != hashlib.sha256(NEAR.encode()).hexdigest()
