@@ -13,12 +13,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rowsieve.llm._shared import shuffle_parts
 
 LEAST_SEGMENTS = 1024
 #: Keys, as far as their number is known beforehand, that one more segment is opened for.
 KEYS_PER_SEGMENT = 1 << 20
+#: Bits of a bitmap for each key marked in it.
+MARK_BITS = 16
 BLOBS = "segment int, keys binary, counts binary"
 
 
@@ -105,3 +108,52 @@ def per_segment(
     parts = max(shuffle_parts(runs.sparkSession), 12)
     dealt = runs.repartition(parts, "segment").sortWithinPartitions("segment")
     return dealt.mapInArrow(merged, schema)
+
+
+def met_twice(runs: DataFrame) -> DataFrame:
+    """(segment, n, keys) of the short keys that occur twice or more in ``runs``."""
+    return per_segment(runs, _twice, "segment int, n bigint, keys binary", short=True)
+
+
+def _twice(segment: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """The segment's keys that occur twice or more."""
+    twice = keys[counts > 1]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([segment], pa.int32()), pa.array([len(twice)], pa.int64()), pa.array([twice.tobytes()], pa.binary())],
+        ["segment", "n", "keys"],
+    )
+
+
+class Marks:
+    """A bitmap of keys, by as many of their highest bits as their number calls for."""
+
+    def __init__(self, n: int, bits: int):
+        self.bits = min(max((n * MARK_BITS).bit_length(), 16), bits + 32)
+        self.segment_bits = bits
+        self.map = np.zeros(1 << (self.bits - 3), np.uint8)
+
+    def mark(self, segment: int, keys: np.ndarray) -> None:
+        bit = (np.uint64(segment) << np.uint64(32) | keys.astype(np.uint64)) >> np.uint64(self.segment_bits + 32 - self.bits)
+        np.bitwise_or.at(self.map, (bit >> np.uint64(3)).astype(np.int64), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+
+    def __contains__(self, key: int | None) -> bool:
+        if key is None:
+            return False
+        bit = key >> (64 - self.bits)
+        return bool(self.map[bit >> 3] >> (bit & 7) & 1)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Which keys are marked."""
+        bit = keys >> np.uint64(64 - self.bits)
+        return (self.map[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def marks_of(twice: DataFrame, bits: int, most: int) -> Marks | None:
+    """A bitmap of the keys of ``met_twice``, or none if they are more than ``most``."""
+    n = twice.agg(F.sum("n")).first()[0] or 0
+    if n > most:
+        return None
+    marks = Marks(n, bits)
+    for row in twice.toLocalIterator():
+        marks.mark(row["segment"], np.frombuffer(row["keys"], np.uint32))
+    return marks

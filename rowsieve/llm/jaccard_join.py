@@ -50,6 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowsieve.llm import _segments
 from rowsieve.llm._graph import components
 from rowsieve.llm._shared import (
     ROW_KEY,
@@ -83,6 +84,8 @@ HUB_ROUNDS, MORE_HUBS = 2, 6
 CANDIDATE_COST, CHEAPER = 4.0, 0.5
 #: Number of shingles from which on subsets count as of one size when costs are counted.
 MOST_SIZE = 15
+#: How many signatures are marked in a broadcast bitmap at most, 128 MB; and signatures counted at a time.
+MOST_MARKED, FLUSH_KEYS = 1 << 26, 2_000_000
 #: Bits of the number of common signatures; a set with more counts as with so many.
 COMMON_BITS = 16
 COMMON = (1 << COMMON_BITS) - 1
@@ -342,7 +345,8 @@ def _met(texts: DataFrame, words: int, least: int, plan: Plan) -> tuple[DataFram
         with_set.select("doc_id", "digest").join(several, "digest").select("doc_id", "rep", "copies"), "copies"
     )
     stands_for = copies.select("doc_id", "rep", "copies").distinct()
-    members = _members(index, stands_for)
+    marked = _marked(_reps(index, stands_for))
+    members = _members(marked)
     buckets = members.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     met = members.join(buckets, "sig").select(
         "sig",
@@ -355,13 +359,63 @@ def _met(texts: DataFrame, words: int, least: int, plan: Plan) -> tuple[DataFram
     return index, stands_for, copies, staged(met, "met")
 
 
-def _members(index: DataFrame, stands_for: DataFrame) -> DataFrame:
-    """One row per signature of the sets that stand for a class; ``meta`` holds the set's size, how many
-    signatures it has in common with any that it links with, and in its lowest bit whether it is a visitor."""
+def _reps(index: DataFrame, stands_for: DataFrame) -> DataFrame:
+    """The sets that stand for a class."""
     with_set = index.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = with_set.join(_small(stands_for), "doc_id", "left").where(
         F.col("rep").isNull() | (F.col("rep") == F.col("doc_id"))
     )
+    return reps.select("doc_id", "n_shingles", "own", "own_common", "visits", "visits_common")
+
+
+def _marked(reps: DataFrame) -> DataFrame:
+    """The sets with those signatures only that occur twice, and some more.
+
+    Most signatures occur once. They are counted first, by the bits of a segment of their hash and 32
+    more, a few bytes each; those that occur twice mark a bitmap, which is broadcast up to a bounded size. Beyond it all
+    signatures stay. False marks cost rows, not results.
+    """
+    total = reps.agg(F.sum(F.size("own") + F.size("visits"))).first()[0] or 0
+    bits = _segments.segment_bits(total)
+
+    def codes(batch: pa.RecordBatch, name: str) -> np.ndarray:
+        return batch.column(name).flatten().to_numpy(zero_copy_only=False).view(_U)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held += [codes(batch, "own"), codes(batch, "visits")]
+            size += len(held[-1]) + len(held[-2])
+            if size >= FLUSH_KEYS:
+                yield _segments.blobs(*_segments.summed(np.concatenate(held)), bits, short=True)
+                held, size = [], 0
+        if size:
+            yield _segments.blobs(*_segments.summed(np.concatenate(held)), bits, short=True)
+
+    runs = reps.select("own", "visits").mapInArrow(counted, _segments.BLOBS)
+    marks = _segments.marks_of(staged(_segments.met_twice(runs), "met-twice"), bits, MOST_MARKED)
+    if marks is None:
+        return reps
+    shared = reps.sparkSession.sparkContext.broadcast(marks)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            for at in (2, 4):
+                lists = batch.column(at)
+                own = lists.flatten().to_numpy(zero_copy_only=False)
+                there = shared.value.has(own.view(_U))
+                ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+                upto = np.concatenate([[0], np.cumsum(there)])[ends].astype(np.int32)
+                columns[at] = pa.ListArray.from_arrays(pa.array(upto), pa.array(own[there]))
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return reps.mapInArrow(kept, reps.schema)
+
+
+def _members(reps: DataFrame) -> DataFrame:
+    """One row per signature of the sets; ``meta`` holds the set's size, how many signatures it has
+    in common with any that it links with, and in its lowest bit whether it is a visitor."""
 
     def rows(column: str, visitor: int) -> DataFrame:
         common = F.least(f"{column}_common", F.lit(COMMON))
@@ -391,7 +445,7 @@ def _met_by_size(
 
     meta = F.col("meta")
     size = F.shiftright(meta, COMMON_BITS + 1)
-    every = by_size(_members(index, stands_for), size, meta % 2 == 1, F.lit(1)).collect()
+    every = by_size(_members(_reps(index, stands_for)), size, meta % 2 == 1, F.lit(1)).collect()
     others = by_size(met, F.col("size"), F.col("visits"), F.col("n") - 1).collect()
     met_there = {(r["band"], r["k"]): r["counted"] for r in others}
     return {

@@ -50,9 +50,8 @@ from rowsieve.llm._shared import discarded, importable_by_workers, shuffle_parts
 LENGTH = 100
 GRAM = 12
 REACH = 50
-#: Bits of the broadcast bitmap for each marked stretch, and how many stretches are marked in
-#: one at most: 128 MB. More are joined by shuffle.
-BITS_EACH, MOST_MARKED = 16, 1 << 26
+#: How many stretches are marked in a broadcast bitmap at most: 128 MB. More are joined by shuffle.
+MOST_MARKED = 1 << 26
 FLUSH_KEYS = 2_000_000
 #: Ids are broadcast up to so many rows, and joined by shuffle beyond.
 MOST_BROADCAST = 1_000_000
@@ -123,34 +122,6 @@ def _stretches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Reco
         yield _segments.blobs(*_segments.summed(np.array(keys)), bits, short=True)
 
 
-def _twice(segment: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """The segment's keys that occur twice or more."""
-    twice = keys[counts > 1]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([segment], pa.int32()), pa.array([len(twice)], pa.int64()), pa.array([twice.tobytes()], pa.binary())],
-        ["segment", "n", "keys"],
-    )
-
-
-class Marks:
-    """A bitmap of keys, by as many of their highest bits as their number calls for."""
-
-    def __init__(self, n: int, bits: int):
-        self.bits = min(max((n * BITS_EACH).bit_length(), 16), bits + 32)
-        self.segment_bits = bits
-        self.map = np.zeros(1 << (self.bits - 3), np.uint8)
-
-    def mark(self, segment: int, keys: np.ndarray) -> None:
-        bit = (np.uint64(segment) << _U(32) | keys.astype(_U)) >> _U(self.segment_bits + 32 - self.bits)
-        np.bitwise_or.at(self.map, (bit >> _U(3)).astype(np.int64), np.uint8(1) << (bit & _U(7)).astype(np.uint8))
-
-    def __contains__(self, key: int | None) -> bool:
-        if key is None:
-            return False
-        bit = key >> (64 - self.bits)
-        return bool(self.map[bit >> 3] >> (bit & 7) & 1)
-
-
 PHRASES = (
     "id bigint, tie bigint, before bigint, after bigint, phrase bigint, check bigint, first int, last int, at int"
 )
@@ -191,14 +162,9 @@ def _shared_phrases(texts: DataFrame) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = _segments.segment_bits(size // BYTES_PER_STRETCH)
     stretches = texts.select("text").mapInArrow(lambda b: _stretches(b, bits), _segments.BLOBS)
-    twice = staged(
-        _segments.per_segment(stretches, _twice, "segment int, n bigint, keys binary", short=True), "stretches"
-    )
-    n = twice.agg(F.sum("n")).first()[0] or 0
-    if n <= MOST_MARKED:
-        marks = Marks(n, bits)
-        for row in twice.toLocalIterator():
-            marks.mark(row["segment"], np.frombuffer(row["keys"], np.uint32))
+    twice = staged(_segments.met_twice(stretches), "stretches")
+    marks = _segments.marks_of(twice, bits, MOST_MARKED)
+    if marks:
         shared = spark.sparkContext.broadcast(marks)
         return texts.mapInArrow(lambda b: _meeting(b, shared), PHRASES)
 

@@ -360,7 +360,10 @@ def expected_groups(texts, least=90):
     return [(len(s), g) for s, g in zip(sets, group)]
 
 
-def test_jaccard_groups_match_brute_force(spark, texts):
+@pytest.mark.parametrize("marked", [None, 0])
+def test_jaccard_groups_match_brute_force(spark, texts, monkeypatch, marked):
+    if marked is not None:
+        monkeypatch.setattr(jaccard_join, "MOST_MARKED", marked)
     rng = random.Random(3)
     family = []
     for _ in range(60):
