@@ -50,17 +50,28 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def staged(df: DataFrame, label: str, batch_bytes: int | None = None) -> DataFrame:
+def small_groups(size: int) -> dict[str, str]:
+    """Write options for large rows: row groups and pages end at ``size`` bytes or with the row that
+    passes it. Sizes are else looked at every hundred rows, and a file of fewer is one page, which writers and
+    readers hold whole, several times over."""
+    checks = ("page.size.row.check", "block.size.row.check")
+    return {"parquet.block.size": str(size), "parquet.page.size": str(size >> 2)} | {
+        f"parquet.{check}.{end}": str(rows) for check in checks for end, rows in (("min", 1), ("max", 100))
+    }
+
+
+def staged(df: DataFrame, label: str, batch_bytes: int | None = None, group_bytes: int | None = None) -> DataFrame:
     """The rows of ``df``, written to the shared scratch folder and read back.
 
     A staged table cuts the lineage: a lost executor costs its running tasks only. Nothing
     reads its shuffle files after that, so they are removed. ``batch_bytes`` keeps the batches of Python
-    workers small where rows are large. The settings for both hold for this write alone.
+    workers small where rows are large, ``group_bytes`` what of the table is read or written at once.
+    The settings for both hold for this write alone.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, f"llm-{label}")
     values = {CLEANUP: "true"} | ({BATCH_BYTES: str(batch_bytes)} if batch_bytes else {})
     with _settings(spark, values):
-        df.write.parquet(path)
+        df.write.options(**(small_groups(group_bytes) if group_bytes else {})).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._staged_at = path
     return table

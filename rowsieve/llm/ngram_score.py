@@ -507,7 +507,7 @@ def train(chunks: DataFrame, bits_each: int = BITS_EACH, most: int = MOST_ENTRIE
     runs = chunks.mapInArrow(lambda b: _counted(b, bits), COUNTED)
     dealt = runs.repartition(max(shuffle_parts(spark), 12), "segment").sortWithinPartitions("segment")
     parts = dealt.mapInArrow(lambda b: _parts(b, bits, bits_each, most), MODEL)
-    parts = staged(parts, "ngram-parts", batch_bytes=GIVEN_BYTES)
+    parts = staged(parts, "ngram-parts", GIVEN_BYTES, GIVEN_BYTES)
     tops = parts.select("segment", "top", "top_level").toLocalIterator()
     frequent_ngrams = Frequent(bits, {r["segment"]: (bytes(r["top"]), r["top_level"]) for r in tops})
     totals = parts.agg(F.sum("total").alias("n"), F.sum("distinct_words").alias("v")).first()
@@ -545,12 +545,12 @@ def score_texts(
     # A null id is in no fold, so its text teaches.
     teaches = ~F.coalesce(remainder_of_id(modulus) == held_out, F.lit(False))
     texts = docs.select(doc_id, text_of().alias("text"), teaches.alias("teaches"))
-    chunks = staged(texts.mapInArrow(lambda b: _chunked(b, chunk_words), CHUNKS), "chunks")
+    chunks = staged(texts.mapInArrow(lambda b: _chunked(b, chunk_words), CHUNKS), "chunks", GIVEN_BYTES, GIVEN_BYTES)
     model, frequent_ngrams, parts, frequent = train(chunks, bits_each, most_entries)
     shared, shared_ngrams = map(spark.sparkContext.broadcast, (model, frequent_ngrams))
     told_of = _told_of(chunks, parts, shared_ngrams)
     rows = told_of.mapInArrow(lambda b: _scored(b, shared, shared_ngrams), ROWS)
-    rows = staged(rows, "scores", batch_bytes=GIVEN_BYTES)
+    rows = staged(rows, "scores", GIVEN_BYTES, GIVEN_BYTES)
     discarded(chunks)
     rare = rows.select("row", F.explode("rare").alias("word"))
     counts = parts.select("words", "counts").mapInArrow(lambda b: _words(b, 0, frequent), "word bigint, c bigint")

@@ -11,12 +11,15 @@ import random
 import re
 import urllib.parse
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from rowsieve.llm import (
+    _shared,
     decontamination,
     jaccard_join,
     ngram_score,
@@ -637,6 +640,24 @@ def test_model_scores_match_exact_counts(spark, texts):
         assert got[i] == pytest.approx(score, rel=1e-3)
 
 
+def test_large_rows_are_staged_in_small_groups(spark, monkeypatch):
+    """A file of few large rows is not one row group, which a task would hold whole."""
+    kept = []
+    monkeypatch.setattr(ngram_score, "GIVEN_BYTES", 1 << 12)
+    monkeypatch.setattr(ngram_score, "staged", lambda *a, **b: kept.append(_shared.staged(*a, **b)) or kept[-1])
+    monkeypatch.setattr(ngram_score, "discarded", lambda *tables: None)
+    rng = random.Random(9)
+    docs = frame(spark, [prose(rng, 400) for _ in range(24)]).coalesce(1)
+    assert ngram_score.score_texts(docs, chunk_words=300).count() == 24
+    assert len(kept) == 3
+    for table, least in zip(kept, (2, 2, 1)):
+        parts = [pq.ParquetFile(f).metadata for f in Path(table._staged_at.removeprefix("file:")).rglob("*.parquet")]
+        groups = [m.row_group(i) for m in parts for i in range(m.num_row_groups)]
+        assert sum(g.num_rows for g in groups) == table.count()
+        assert max(m.num_row_groups for m in parts) >= least
+        assert all(g.num_rows == 1 or g.total_byte_size < 1 << 14 for g in groups)
+
+
 @pytest.mark.parametrize("most", [0, 60 * ngram_score.LEAST_SEGMENTS])
 def test_scores_do_not_depend_on_what_is_broadcast(spark, texts, most):
     """All n-grams broadcast, none, or the frequent ones: the same scores."""
