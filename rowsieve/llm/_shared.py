@@ -51,9 +51,9 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 
 def small_groups(size: int) -> dict[str, str]:
-    """Write options for large rows: row groups and pages end at ``size`` bytes or with the row that
-    passes it. Sizes are else looked at every hundred rows, and a file of fewer is one page, which writers and
-    readers hold whole, several times over."""
+    """Write options for large rows: a row group ends at ``size`` bytes, a page at a quarter of that, or
+    with the row that passes it. Sizes are else looked at every hundred rows, and a file of fewer is one
+    page, which writers and readers hold whole, several times over."""
     checks = ("page.size.row.check", "block.size.row.check")
     return {"parquet.block.size": str(size), "parquet.page.size": str(size >> 2)} | {
         f"parquet.{check}.{end}": str(rows) for check in checks for end, rows in (("min", 1), ("max", 100))
